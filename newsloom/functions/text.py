@@ -80,14 +80,15 @@ class Lexicon:
 
 def _with_context(terms: Column, i: Column, own: Column) -> Column:
     """Valence of a word after the up to three words before it had their say."""
-    value = own
-    for distance, damping in enumerate(DISTANCE_DAMPING, start=1):
+
+    def after(value: Column, distance: int) -> Column:
         before = F.get(terms, i - distance)
-        boost = before["b"] * damping * F.when(value < 0, -1.0).otherwise(1.0)
+        boost = before["b"] * DISTANCE_DAMPING[distance - 1] * F.when(value < 0, -1.0).otherwise(1.0)
         raised = value + F.coalesce(boost, F.lit(0.0))
-        turned = F.when(before["n"], raised * NEGATED).otherwise(raised)
-        value = F.when(before.isNotNull() & before["v"].isNull(), turned).otherwise(value)
-    return value
+        said = before.isNotNull() & before["v"].isNull()
+        return F.when(said, raised * F.when(before["n"], NEGATED).otherwise(1.0)).otherwise(value)
+
+    return let(after(own, 1), lambda v: let(after(v, 2), lambda w: after(w, 3)))
 
 
 def _emphasis(marks: Column) -> Column:

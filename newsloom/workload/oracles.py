@@ -358,9 +358,8 @@ ORACLES: dict[str, str] = {
     ),
     "folder_summary": """SELECT * FROM (VALUES ('.gz', 4::BIGINT, 0::BIGINT), ('uncompressed', 3::BIGINT, 0::BIGINT))
         AS t(compression, loaded_files, skipped_files)""",
-    "lookback": on_articles(
-        "SELECT doc_id, datetime FROM articles WHERE datetime >= TIMESTAMP '2024-01-20 00:00:00'"
-    ),
+    "lookback": """SELECT event_id, ts AS datetime FROM events
+        WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'""",
     "sink_roundtrip": on_articles(
         """SELECT doc_id, nullif(title, '') AS title, description, datetime, event_type AS search_terms
         FROM articles"""
@@ -529,19 +528,19 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'only CLICK', max(datetime) FROM articles WHERE event_type = 'click'"""
     ),
     "resample_daily": on_articles(
-        CALENDAR.format(score="round(score, 6)", unit="DAY"), SCORED, means("day", "scored")
+        CALENDAR.format(score="round(score, 12)", unit="DAY"), SCORED, means("day", "scored")
     ),
     "resample_hourly": on_articles(
-        CALENDAR.format(score="round(score, 6)", unit="HOUR"), SCORED, means("hour", "scored")
+        CALENDAR.format(score="round(score, 12)", unit="HOUR"), SCORED, means("hour", "scored")
     ),
     "resample_nested": on_articles(
-        CALENDAR.format(score="round(score, 6)", unit="DAY"), NESTED, means("day", "nested")
+        CALENDAR.format(score="round(score, 12)", unit="DAY"), NESTED, means("day", "nested")
     ),
-    "gap_fill": f"WITH {EVENT_MEANS} " + CALENDAR.format(score="round(score, 6)", unit="HOUR"),
-    "fill_scores": f"WITH {EVENT_MEANS} " + CALENDAR.format(score="coalesce(round(score, 6), 0)", unit="HOUR"),
+    "gap_fill": f"WITH {EVENT_MEANS} " + CALENDAR.format(score="round(score, 12)", unit="HOUR"),
+    "fill_scores": f"WITH {EVENT_MEANS} " + CALENDAR.format(score="coalesce(round(score, 12), 0)", unit="HOUR"),
     "pivot_scores": on_articles(
         "SELECT bucket, " + ", ".join(
-            f"round(max(score) FILTER (WHERE ticker = '{t}'), 6) AS \"{t}\""
+            f"round(max(score) FILTER (WHERE ticker = '{t}'), 12) AS \"{t}\""
             for t in ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "U0", "U1", "U2", "U3", "U4", "VIEW"]
         ) + " FROM series GROUP BY bucket",
         NESTED, means("day", "nested"), f"series AS ({CALENDAR.format(score='score', unit='DAY')})",
@@ -551,7 +550,7 @@ ORACLES: dict[str, str] = {
         TRANSFORM_B, *DICTIONARIES, *article_ctes("scores", "articles", "doc_id"), KEYWORD_ROWS, TAGS
     ),
     "source_run": on_articles(
-        CALENDAR.format(score="round(score, 6)", unit="DAY"),
+        CALENDAR.format(score="round(score, 12)", unit="DAY"),
         FIRST_PER_URL.format(
             source="articles", order="CASE WHEN data_source = 'beta' THEN 0 ELSE 1 END, doc_id"
         ),

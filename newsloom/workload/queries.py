@@ -114,7 +114,8 @@ def folder_summary(spark, sf_dir):
 @query
 def lookback(spark, sf_dir):
     today = F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
-    return landing.since_days(fx.articles(spark, sf_dir), 10, today).select("doc_id", "datetime")
+    events = fx.table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("datetime"))
+    return landing.since_days(events, 10, today)
 
 
 # Sinks and tables
@@ -457,7 +458,7 @@ def _scored_articles(spark, sf_dir) -> DataFrame:
 
 
 def _rounded(series: DataFrame) -> DataFrame:
-    return series.withColumn("score", F.round("score", 6))
+    return series.withColumn("score", F.round("score", 12))
 
 
 @query
@@ -500,7 +501,7 @@ TICKERS = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "U0", "U1", "U2", "U3", "U4",
 @query
 def pivot_scores(spark, sf_dir):
     wide = resample.pivot_scores(resample.resample_nested(fx.articles(spark, sf_dir), "D"), TICKERS)
-    return wide.select("bucket", *[F.round(t, 6).alias(t) for t in TICKERS])
+    return wide.select("bucket", *[F.round(t, 12).alias(t) for t in TICKERS])
 
 
 # Whole runs
