@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsloom.functions.lookup import let
+
 # Whitespace as Python's str methods and `\s` see it; Java's own `\s` is ASCII only.
 WS = r"[\t-\r\x1C-\x1F \x85\p{Z}]"
 
@@ -86,10 +88,10 @@ def normalize_list(c: Column) -> Column:
 
 def normalize_dicts(c: Column) -> Column:
     """List of maps; empty unless every item is an object."""
-    parsed = list_of(c, "array<map<string,string>>")
     none = F.array().cast("array<map<string,string>>")
-    return F.when(F.exists(parsed, lambda m: m.isNull()), none).otherwise(
-        F.coalesce(parsed, none)
+    return let(
+        list_of(c, "array<map<string,string>>"),
+        lambda items: F.when(items.isNull() | F.exists(items, lambda m: m.isNull()), none).otherwise(items),
     )
 
 

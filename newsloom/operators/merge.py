@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.dictionaries import SOURCE_RANK, UNRANKED
@@ -46,9 +46,13 @@ def source_rank(data_source: Column, ranks: Mapping[str, int] = SOURCE_RANK) ->
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], seq: str = SEQ) -> DataFrame:
-    """The first row per key. Rows without a key count as one group."""
-    row = F.min_by(F.struct(*df.columns), F.col(seq)).alias("row")
-    return df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(row).select("row.*")
+    """The first row per key. Rows without a key count as one group.
+
+    Spark turns the filter on the row number into a limit per key on the map side, so of a frequent
+    key only one row per map task is shuffled.
+    """
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(seq))
+    return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
 def term_union(
@@ -78,6 +82,15 @@ def term_union(
     return merged.select(*columns)
 
 
+def _in_order(items: Column, separator: str = " ") -> Column:
+    """Texts of structs whose first fields are their place, joined in that order."""
+    return F.array_join(F.transform(F.array_sort(items), lambda x: x["text"]), separator)
+
+
+def _run(ordinal: str) -> Column:
+    return F.floor(F.col(ordinal) / RUN_LENGTH)
+
+
 def joined_text(
     df: DataFrame, key: str, order: Sequence[str], text: str, separator: str = " "
 ) -> DataFrame:
@@ -86,57 +99,58 @@ def joined_text(
     Runs of consecutive ordinals are sorted and joined first, each by whichever task owns the run,
     so the texts of a frequent key are spread over tasks and only finished runs meet at the end.
     """
-    run = F.floor(F.col(order[0]) / RUN_LENGTH).alias("_run")
-
-    def in_order(items: Column) -> Column:
-        return F.array_join(F.transform(F.array_sort(items), lambda x: x["text"]), separator)
-
+    place = F.struct(*order, F.col(text).alias("text"))
     return (
-        df.groupBy(key, run)
-        .agg(in_order(F.collect_list(F.struct(*order, F.col(text).alias("text")))).alias("_part"))
+        df.groupBy(key, _run(order[0]).alias("_run"))
+        .agg(_in_order(F.collect_list(place), separator).alias("_part"))
         .groupBy(key)
-        .agg(in_order(F.collect_list(F.struct("_run", F.col("_part").alias("text")))).alias(text))
+        .agg(
+            _in_order(F.collect_list(F.struct("_run", F.col("_part").alias("text"))), separator)
+            .alias(text)
+        )
     )
 
 
-def best_row(
+def best_row_merge(
     df: DataFrame, key: str = "url", seq: str = SEQ, ranks: Mapping[str, int] = SOURCE_RANK
 ) -> DataFrame:
-    """Per key and column the first value that is not null, best ranked source first.
+    """One row per key: each column's first value that is not null, best ranked source first.
 
-    ``description`` is left out; ``was_merged`` tells whether more than one row had one.
+    ``description`` joins all descriptions in input order, empty if there are none, and
+    ``was_merged`` tells whether there was more than one. Rows without a key are dropped. One scan
+    and no join: runs of consecutive rows are merged first, as in ``joined_text``, then the runs.
     """
     require_columns(df, ["data_source", "description", key, "datetime", seq])
-    order = F.struct(source_rank(F.col("data_source"), ranks), F.col(seq))
     plain = [c for c in df.columns if c not in (key, "description", seq)]
-    return (
-        df.where(F.col(key).isNotNull())
-        .withColumn("_order", order)
+    rows = df.where(F.col(key).isNotNull()).withColumn(
+        "_order", F.struct(source_rank(F.col("data_source"), ranks), F.col(seq))
+    )
+
+    def first_of_run(c: str) -> Column:
+        present = F.when(F.col(c).isNotNull(), F.col("_order"))
+        return F.min_by(F.struct(F.col(c).alias("value"), F.col("_order").alias("at")), present)
+
+    described = F.when(
+        F.col("description").isNotNull(), F.struct(seq, F.col("description").alias("text"))
+    )
+    part = F.when(F.col("_n") > 0, F.struct("_run", F.col("_part").alias("text")))
+    merged = (
+        rows.groupBy(key, _run(seq).alias("_run"))
+        .agg(
+            *[first_of_run(c).alias(c) for c in plain],
+            F.min(seq).alias(seq),
+            F.count("description").alias("_n"),
+            _in_order(F.collect_list(described)).alias("_part"),
+        )
         .groupBy(key)
         .agg(
-            *[
-                F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_order"))).alias(c)
-                for c in plain
-            ],
+            *[F.min_by(F.col(c)["value"], F.col(c)["at"]).alias(c) for c in plain],
             F.min(seq).alias(seq),
-            (F.count("description") > 1).alias("was_merged"),
+            (F.sum("_n") > 1).alias("was_merged"),
+            _in_order(F.collect_list(part)).alias("description"),
         )
     )
-
-
-def best_row_merge(
-    df: DataFrame, key: str = "url", seq: str = SEQ, ranks: Mapping[str, int] = SOURCE_RANK
-) -> DataFrame:
-    """``best_row`` plus all descriptions of the key joined in input order, empty if there are none.
-
-    Both sides come out partitioned by the key, so joining them needs no further shuffle.
-    """
-    described = df.where(F.col(key).isNotNull() & F.col("description").isNotNull())
-    return (
-        best_row(df, key, seq, ranks)
-        .join(joined_text(described, key, [seq], "description"), key, "left")
-        .withColumn("description", F.coalesce("description", F.lit("")))
-    )
+    return merged.select(*df.columns, "was_merged")
 
 
 def upsert(
@@ -173,9 +187,24 @@ def upsert(
     return merged.unionByName(untouched.select(columns))
 
 
-def append_distinct(new: DataFrame, main: DataFrame | None) -> DataFrame:
-    """All different rows of both tables."""
-    return (new if main is None else new.unionByName(main)).distinct()
+def append_distinct(
+    new: DataFrame, main: DataFrame | None, main_is_distinct: bool = False
+) -> DataFrame:
+    """All different rows of both tables.
+
+    With ``main_is_distinct`` (as every earlier result is) main is not shuffled: only its rows that
+    share a checksum with a new row are compared, and the new rows that remain are added to it.
+    """
+    if main is None:
+        return new.distinct()
+    if not main_is_distinct:
+        return new.unionByName(main).distinct()
+    main = main.select(new.columns)
+    checksum = F.xxhash64(*new.columns).alias("_sum")
+    alike = main.withColumn("_sum", checksum).join(
+        new.select(checksum).distinct(), "_sum", "left_semi"
+    )
+    return main.unionByName(new.subtract(alike.drop("_sum")))
 
 
 def sorted_layer(df: DataFrame, *order: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.functions.lookup import let
 from newsloom.functions.parse import after_last, list_of, with_lists
 from newsloom.operators.validate import require_columns
 
@@ -32,10 +33,12 @@ def fill_calendar(means: DataFrame, freq: str, fill: float | None = None) -> Dat
     """Every ticker gets every bucket from the first to the last one of the table.
 
     Each row is stretched up to the next row of its ticker, which needs neither a calendar table
-    nor a join; the bounds of the table are a scalar subquery. At most one row per bucket and
-    ticker gets here, so a partition is as long as the calendar.
+    nor a join. The bounds of the table are a scalar subquery; it looks at the means and not just
+    at the buckets, so that it reads the same shuffled data as the series itself. At most one row
+    per bucket and ticker gets here, so a window is as long as the calendar.
     """
-    bounds = means.agg(F.struct(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))).scalar()
+    filled = F.when(F.col("score").isNotNull(), F.col("bucket"))
+    bounds = means.agg(F.struct(F.min(filled).alias("lo"), F.max(filled).alias("hi"))).scalar()
     by_ticker = Window.partitionBy("ticker").orderBy("bucket")
     spans = means.select(
         "ticker",
@@ -86,7 +89,7 @@ def nested_scores(df: DataFrame, clean_tickers: bool = True) -> DataFrame:
     items = F.col("ticker_sentiment")
     if dict(df.dtypes)["ticker_sentiment"] == "string":
         items = list_of(items, "array<struct<ticker:string,ticker_sentiment_score:string>>")
-        items = F.when(F.exists(items, lambda x: x.isNull()), None).otherwise(items)
+        items = let(items, lambda xs: F.when(~F.exists(xs, lambda x: x.isNull()), xs))
         ticker, score = F.col("i.ticker"), F.col("i.ticker_sentiment_score")
     else:
         ticker, score = (

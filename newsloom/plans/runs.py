@@ -26,6 +26,7 @@ from newsloom.operators.merge import (
 from newsloom.operators.resample import resample_scores
 from newsloom.operators.semantic import Encoder, hashed_terms, semantic_clean
 from newsloom.operators.validate import require_columns
+from newsloom.session import stored
 from newsloom.sources.files import read_snapshot, write_layer, write_snapshot
 
 
@@ -110,8 +111,11 @@ def merge_clean(
     encode: Encoder = hashed_terms,
     ranks: Mapping[str, int] = SOURCE_RANK,
 ) -> DataFrame:
-    """One row per URL with a joined description free of similar sentences, scored again."""
-    merged = best_row_merge(union, ranks=ranks)
+    """One row per URL with a joined description free of similar sentences, scored again.
+
+    The merged rows are stored once, because finding and dropping similar sentences both read them.
+    """
+    merged = stored(best_row_merge(union, ranks=ranks), "merged")
     cleaned = semantic_clean(merged, threshold=threshold, encode=encode)
     return rescore(cleaned, "was_merged", lexicon).drop("was_merged", "removed_sent_count")
 
@@ -166,6 +170,6 @@ def run_merge(tables: Sequence[DataFrame], root: str, lexicon: Lexicon, **option
     stamp = f"batch-{uuid.uuid4().hex}"
     out = {"merged": write_layer(cleaned, f"{root}/merged/{stamp}", ("datetime", "url"))}
     main = f"{root}/merged/main"
-    new = append_distinct(spark.read.parquet(out["merged"]), read_snapshot(spark, main))
+    new = append_distinct(spark.read.parquet(out["merged"]), read_snapshot(spark, main), True)
     out["merged_main"] = write_snapshot(new, main, ("datetime", "url"))
     return out

@@ -13,7 +13,7 @@ from newsloom.functions import text as X
 from newsloom.operators import merge as M
 from newsloom.operators import profile, resample, semantic, validate
 from newsloom.plans import runs
-from newsloom.session import scratch_path
+from newsloom.session import scratch_path, stored
 from newsloom.sources import files, landing
 from newsloom.workload import fixture as fx
 
@@ -156,7 +156,7 @@ def upsert_main(spark, sf_dir):
 def append_distinct(spark, sf_dir):
     news = fx.articles(spark, sf_dir).select("url", "source", "lang", "data_source")
     new = news.where("data_source = 'beta'").drop("data_source")
-    return M.append_distinct(new, news.drop("data_source"))
+    return M.append_distinct(new, news.drop("data_source").distinct(), main_is_distinct=True)
 
 
 @query
@@ -527,7 +527,7 @@ def source_run(spark, sf_dir):
 
     def processed(origin: str) -> DataFrame:
         clean = M.term_union(fx.raw_a(news.where(F.col("data_source") == origin)), "url")
-        return runs.transform_a(clean, fx.LEXICON)
+        return stored(runs.transform_a(clean, fx.LEXICON), origin)
 
     main = M.upsert(processed("beta"), processed("alpha"), "url", main_is_unique=True)
     return _rounded(resample.resample_scores(main, "nltk", "D"))
@@ -551,7 +551,7 @@ def merge_clean(spark, sf_dir):
 @query
 def merge_run(spark, sf_dir):
     """Append the merge of both sources to an older main table: that of source A alone."""
-    union = _union_of_sources(spark, sf_dir)
+    union = stored(_union_of_sources(spark, sf_dir), "processed")
     new = runs.merge_clean(union, fx.LEXICON)
     old = runs.merge_clean(union.where("data_source = 'alpha_vantage'"), fx.LEXICON)
     both = M.append_distinct(new.select(MERGED_COLUMNS), old.select(MERGED_COLUMNS))
