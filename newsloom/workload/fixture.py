@@ -36,8 +36,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One article per document; about three articles share a URL. ``_seq`` is the document id."""
+    """One article per document; about three articles share a URL. ``_seq`` is the document id.
+
+    Documents are partitioned as the join needs them, so that even a file of one row group, which
+    only one task can read, is worked on by all cores afterwards.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    docs = docs.repartition("doc_id")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id")
     title = "split_part(text, chr(10), 1)"
     tickers = (
