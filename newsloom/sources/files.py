@@ -14,7 +14,10 @@ from newsloom.operators.merge import sorted_layer
 from newsloom.operators.profile import schema_profile, version_span
 from newsloom.operators.validate import require_columns, require_rows
 
-_CSV = {"header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8"}
+_CSV = {
+    "header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 _COMPRESSIONS = ("gz", "bz2")
 # Different headers in one folder; each one is a scan of its own.
 MAX_HEADERS = 1000
@@ -23,10 +26,14 @@ MAX_HEADERS = 1000
 def read_csv(
     spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], strict: bool = False
 ) -> DataFrame:
-    """CSV (plain, gzip or bzip2) as text columns; ``datetime`` is parsed, bad values to null
-    unless ``strict``. CSV cannot hold lists, so list columns come back as text."""
+    """CSV (plain, gzip or bzip2) as text columns, with nothing between commas or quotes as null.
+
+    ``datetime`` is parsed, bad values to null unless ``strict``. CSV cannot hold lists, so list
+    columns come back as text.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     df = spark.read.options(**_CSV).schema(schema).csv(paths if isinstance(paths, str) else list(paths))
+    df = df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
     if "datetime" in columns:
         df = df.withColumn("datetime", parse_ts(F.col("datetime"), strict))
     return df

@@ -1,4 +1,4 @@
-"""API answers that were landed as JSON, one envelope per file or per line.
+"""API answers that were landed as JSON.
 
 A landing folder has one subfolder ``term=<search term>`` per request and files named by page.
 Fetching them is the job of whatever HTTP client lands them.
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.parse import parse_ts
 from newsloom.operators.merge import SEQ, keep_first
 from newsloom.operators.validate import reject_reason
+from newsloom.session import dimension
 
 # Fields of a news item per source, the list that holds them, and what names an item.
 FEED_ITEM = (
@@ -32,20 +33,42 @@ PAGE_ITEM = (
 _POSITION_BITS = 20
 
 
-def read_landing(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    """Landed envelopes as rows (``term``, ``page``, ``payload``).
+def _file_envelopes(text: DataFrame) -> DataFrame:
+    """Whole files as envelopes; term and page come from where the file lies and what it is called."""
 
-    The page is the number in the file name. Line-wise landing files (``one_per_file=False``) can be
-    split between tasks; their envelopes must carry distinct pages in their file names as well.
-    """
-    text = spark.read.option("basePath", path).text(f"{path}/term=*", wholetext=one_per_file)
-    name = F.col("_metadata.file_name")
-    page = F.coalesce(F.regexp_extract(name, r"(\d+)", 1).try_cast("long"), F.lit(0))
+    def decoded(c: Column) -> Column:
+        return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
+
+    # The path is encoded once as a folder name and once more as a URL.
+    term = decoded(decoded(F.regexp_extract("_metadata.file_path", "/term=([^/]*)/", 1)))
+    page = F.regexp_extract("_metadata.file_name", r"(\d+)", 1).try_cast("long")
     return text.select(
-        F.col("term").cast("string").alias("term"), page.alias("page"), F.col("value").alias("payload")
+        term.alias("term"), F.coalesce(page, F.lit(0)).alias("page"), F.col("value").alias("payload")
+    )
+
+
+def read_landing(spark: SparkSession, path: str) -> DataFrame:
+    """Landed envelopes as rows (``term``, ``page``, ``payload``), one file each.
+
+    The page is the first number in the file name.
+    """
+    return _file_envelopes(
+        spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     )
 
 
+def stream_landing(spark: SparkSession, path: str) -> DataFrame:
+    """The same rows as a stream of the files that are new since the last run."""
+    files = spark.readStream.option("recursiveFileLookup", "true").option("wholetext", "true")
+    return _file_envelopes(files.text(path))
+
+
+def read_landing_log(spark: SparkSession, path: str) -> DataFrame:
+    """Envelopes kept as JSON lines of ``term``, ``page`` and ``payload``: few large files that are
+    split between tasks, for landings too large to be one file per envelope."""
+    return spark.read.schema("term string, page bigint, payload string").json(path)
+
+
 def _ordinal(page: Column, pos: Column) -> Column:
     limit = 1 << _POSITION_BITS
     checked = F.when(pos < limit, pos).otherwise(
@@ -130,6 +153,5 @@ def since_days(df: DataFrame, days: int | None, today: Column | None = None) ->
 
 
 def terms_frame(spark: SparkSession, terms: Sequence[str]) -> DataFrame:
-    from newsloom.session import dimension
-
+    """Requested terms as a table."""
     return dimension(spark, term=list(terms))
