@@ -10,6 +10,7 @@ from newsloom.functions.lookup import let
 
 # Whitespace as Python's str methods and `\s` see it; Java's own `\s` is ASCII only.
 WS = r"[\t-\r\x1C-\x1F \x85\p{Z}]"
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # CSV exports hold lists as Python literals, which are JSON but for quotes, escapes and names.
 _LENIENT = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
@@ -19,7 +20,7 @@ _QUOTED = r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+\""""
 
 def strip(c: Column) -> Column:
     """Trim all Unicode whitespace, not only blanks."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def is_missing(c: Column, floating: bool = False) -> Column:

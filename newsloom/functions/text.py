@@ -17,7 +17,11 @@ from newsloom.functions.parse import WS, empty_list, strip
 
 WORD = r"[\p{L}\p{N}_]+"
 # Words, contraction endings and single punctuation marks.
-TOKEN = rf"n't|'(?:s|re|ve|ll|d|m)\b|{WORD}|[^\s\p{{L}}\p{{N}}_]"
+_ENDING = r"n't|'(?:s|re|ve|ll|d|m)\b"
+TOKEN = rf"{_ENDING}|{WORD}|[^\s\p{{L}}\p{{N}}_]"
+# Tokens of two or more characters, and of one or more: without punctuation marks.
+_SPOKEN = rf"{_ENDING}|[\p{{L}}\p{{N}}_]{{2,}}"
+_SPOKEN_OR_SINGLE = rf"{_ENDING}|{WORD}"
 TERM_WORD = r"[\p{L}\p{N}_$#]+"
 
 
@@ -26,10 +30,10 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
 
 
-def tokens(c: Column) -> Column:
+def tokens(c: Column, pattern: str = TOKEN) -> Column:
     """Lower-case words and punctuation marks, with contractions taken apart."""
-    apart = F.regexp_replace(F.lower(c), "n't", " n't ")
-    return F.regexp_extract_all(apart, F.lit(TOKEN), F.lit(0))
+    apart = F.replace(F.lower(c), F.lit("n't"), F.lit(" n't "))
+    return F.regexp_extract_all(apart, F.lit(pattern), F.lit(0))
 
 
 def preprocess(
@@ -70,12 +74,34 @@ class Lexicon:
     stopwords: tuple[str, ...] = ()
     base_forms: Mapping[str, str] = field(default_factory=dict)
 
-    def entries(self) -> dict[str, dict]:
-        known = {*self.valence, *self.boosters, *self.negations}
-        return {
-            w: {"v": self.valence.get(w), "b": self.boosters.get(w), "n": w in self.negations}
-            for w in known
-        }
+    def terms(self) -> dict[str, dict]:
+        """What a token as it stands in the text means; tokens that mean nothing are left out."""
+        meaning = {}
+        for token in {*self.valence, *self.boosters, *self.negations, *self.base_forms, *self.stopwords}:
+            word = self.base_forms.get(token, token)
+            term = {
+                "v": self.valence.get(word),
+                "b": self.boosters.get(word),
+                "n": word in self.negations,
+                "drop": token in self.stopwords or len(word) < 2,
+            }
+            if term["drop"] or term["n"] or term["v"] is not None or term["b"] is not None:
+                meaning[token] = term
+        return meaning
+
+    def spoken(self, c: Column) -> Column:
+        """Tokens that can be words once they have their base form: longer than one character."""
+        singles = sorted(t for t, word in self.base_forms.items() if len(t) < 2 <= len(word))
+        if not singles:
+            return tokens(c, _SPOKEN)
+        found = tokens(c, _SPOKEN_OR_SINGLE)
+        return F.filter(found, lambda t: (F.length(t) > 1) | t.isin(singles))
+
+    def count(self, c: Column, mark: str) -> Column:
+        """How often a punctuation mark occurs."""
+        if mark in self.stopwords:
+            return F.lit(0)
+        return F.length(c) - F.length(F.replace(c, F.lit(mark), F.lit("")))
 
 
 def _with_context(terms: Column, i: Column, own: Column) -> Column:
@@ -91,10 +117,8 @@ def _with_context(terms: Column, i: Column, own: Column) -> Column:
     return let(after(own, 1), lambda v: let(after(v, 2), lambda w: after(w, 3)))
 
 
-def _emphasis(marks: Column) -> Column:
-    """Weight of exclamation and question marks among the tokens."""
-    shouts = F.size(F.filter(marks, lambda t: t == "!"))
-    asks = F.size(F.filter(marks, lambda t: t == "?"))
+def _emphasis(shouts: Column, asks: Column) -> Column:
+    """Weight of exclamation and question marks."""
     return F.least(shouts, F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION + F.when(
         asks > 1, F.when(asks <= MAX_QUESTIONS, asks * QUESTION).otherwise(MANY_QUESTIONS)
     ).otherwise(0.0)
@@ -108,25 +132,26 @@ def _compound(total: Column, emphasis: Column) -> Column:
 def lexicon_score(c: Column, lexicon: Lexicon) -> Column:
     """Compound sentiment in [-1, 1] of a text column; null text scores zero.
 
-    Each word of the text is looked up once; the context rules then only see these entries.
+    The text is scored as ``preprocess`` leaves it. Each token is looked up once, in a dictionary
+    that already knows about stopwords and base forms, and the context rules see only the entries.
     """
-    term = lookup(lexicon.entries(), "struct<v:double,b:double,n:boolean>")
-
-    def of_tokens(toks: Column) -> Column:
-        spoken = F.transform(F.filter(toks, lambda t: F.length(t) > 1), term)
-
-        def of_terms(terms: Column) -> Column:
-            scored = F.transform(
-                terms,
-                lambda t, i: F.when(
-                    t["v"].isNotNull() & t["b"].isNull(), _with_context(terms, i, t["v"])
-                ).otherwise(0.0),
-            )
-            return F.round(F.aggregate(scored, F.lit(0.0), lambda a, x: a + x), 9)
+    c = F.coalesce(c, F.lit(""))
+    term = lookup(lexicon.terms(), "struct<v:double,b:double,n:boolean,drop:boolean>")
+    spoken = F.filter(
+        F.transform(lexicon.spoken(c), term), lambda t: ~F.coalesce(t["drop"], F.lit(False))
+    )
 
-        return let(let(spoken, of_terms), lambda total: _compound(total, _emphasis(toks)))
+    def of_terms(terms: Column) -> Column:
+        scored = F.transform(
+            terms,
+            lambda t, i: F.when(
+                t["v"].isNotNull() & t["b"].isNull(), _with_context(terms, i, t["v"])
+            ).otherwise(0.0),
+        )
+        return F.round(F.aggregate(scored, F.lit(0.0), lambda a, x: a + x), 9)
 
-    return let(preprocess(c, lexicon.stopwords, lexicon.base_forms), of_tokens)
+    emphasis = _emphasis(lexicon.count(c, "!"), lexicon.count(c, "?"))
+    return let(let(spoken, of_terms), lambda total: _compound(total, emphasis))
 
 
 def sentiment_label(score: Column) -> Column:
@@ -155,7 +180,7 @@ def article_score(title: Column, description: Column, lexicon: Lexicon) -> Colum
 def split_sentences(c: Column) -> Column:
     """Sentences that end in ``.``, ``!`` or ``?`` before whitespace; blank ones are dropped."""
     parts = F.split(strip(F.coalesce(c, F.lit(""))), f"(?<=[.!?]){WS}+")
-    return F.filter(F.transform(parts, strip), lambda s: s != "")
+    return F.filter(parts, lambda s: s != "")
 
 
 def normalize_sentence(c: Column, method: str = "regex") -> Column:

@@ -40,7 +40,10 @@ def on_articles(sql: str, *ctes: str) -> str:
 
 TERMS = values(
     "terms", "word, v, b, n",
-    [(w, e["v"], e["b"], "y" if e["n"] else None) for w, e in sorted(fx.LEXICON.entries().items())],
+    [
+        (w, fx.LEXICON.valence.get(w), fx.LEXICON.boosters.get(w), "y" if w in fx.LEXICON.negations else None)
+        for w in sorted({*fx.LEXICON.valence, *fx.LEXICON.boosters, *fx.LEXICON.negations})
+    ],
 )
 STOP = values("stop", "word", [(w,) for w in fx.LEXICON.stopwords])
 BASE = values("base", "word, form", sorted(fx.LEXICON.base_forms.items()))

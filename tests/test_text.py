@@ -113,3 +113,11 @@ def test_lookup_of_many_entries(spark):
     assert all(r.v == (r.id if r.id < 5000 else None) for r in got)
     with pytest.raises(ValueError):
         lookup(dict.fromkeys(map(str, range(MAX_ENTRIES + 1)), 1), "int")
+
+
+def test_base_forms_decide_what_counts_as_a_word(spark):
+    lexicon = X.Lexicon({"good": 1.9, "you": 1.0}, {"very": 0.293}, base_forms={"u": "you", "xx": "x"})
+    score = lambda c: X.lexicon_score(c, lexicon)
+    assert run(spark, score, "u") == pytest.approx(compound(1.0))
+    # The single letter and what becomes one are no words, so the booster still is the next before.
+    assert run(spark, score, "very xx z good") == pytest.approx(compound(1.9 + 0.293))
