@@ -124,9 +124,8 @@ def _emphasis(shouts: Column, asks: Column) -> Column:
     ).otherwise(0.0)
 
 
-def _compound(total: Column, emphasis: Column) -> Column:
-    raised = total + F.signum(total) * emphasis
-    return F.round(raised / F.sqrt(raised * raised + NORMALISER), 4)
+def _compound(total: Column) -> Column:
+    return F.round(total / F.sqrt(total * total + NORMALISER), 4)
 
 
 def lexicon_score(c: Column, lexicon: Lexicon) -> Column:
@@ -150,8 +149,16 @@ def lexicon_score(c: Column, lexicon: Lexicon) -> Column:
         )
         return F.round(F.aggregate(scored, F.lit(0.0), lambda a, x: a + x), 9)
 
-    emphasis = _emphasis(lexicon.count(c, "!"), lexicon.count(c, "?"))
-    return let(let(spoken, of_terms), lambda total: _compound(total, emphasis))
+    parts = F.struct(
+        let(spoken, of_terms).alias("total"),
+        lexicon.count(c, "!").alias("shouts"),
+        lexicon.count(c, "?").alias("asks"),
+    )
+
+    def raised(p: Column) -> Column:
+        return p["total"] + F.signum(p["total"]) * _emphasis(p["shouts"], p["asks"])
+
+    return let(let(parts, raised), _compound)
 
 
 def sentiment_label(score: Column) -> Column:
