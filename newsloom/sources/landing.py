@@ -29,6 +29,9 @@ PAGE_ITEM = (
     "category array<string>"
 )
 
+# Requested terms that may be broadcast.
+MAX_BROADCAST_TERMS = 100_000
+
 # The ordinal of an item: the page above, the position on the page below.
 _POSITION_BITS = 20
 
@@ -111,21 +114,32 @@ def judged(envelopes: DataFrame, key: str, check_status: bool) -> DataFrame:
     return envelopes.withColumn("reject_reason", reason)
 
 
-def missed_terms(requested: DataFrame, judged_envelopes: DataFrame) -> DataFrame:
+def _usable_terms(judged_envelopes: DataFrame) -> DataFrame:
+    """Terms that answered without any rejected envelope."""
+    fine = F.bool_and(F.col("reject_reason").isNull()).alias("usable")
+    return judged_envelopes.groupBy("term").agg(fine).where("usable").select("term")
+
+
+def missed_terms(judged_envelopes: DataFrame, requested: Sequence[str]) -> DataFrame:
     """Requested terms without any answer, or with an answer that had to be rejected."""
-    usable = (
-        judged_envelopes.groupBy("term")
-        .agg(F.bool_and(F.col("reject_reason").isNull()).alias("usable"))
-        .where("usable")
-    )
-    return requested.join(usable, "term", "left_anti")
+    asked = dimension(judged_envelopes.sparkSession, term=list(requested))
+    return asked.join(_usable_terms(judged_envelopes), "term", "left_anti")
 
 
-def usable_envelopes(judged_envelopes: DataFrame) -> DataFrame:
-    """Envelopes of the terms that answered without any rejected envelope."""
-    bad = judged_envelopes.where(F.col("reject_reason").isNotNull()).select("term").distinct()
-    good = judged_envelopes.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    return good.join(bad, "term", "left_anti")
+def usable_envelopes(
+    judged_envelopes: DataFrame, requested: Sequence[str] | None = None
+) -> DataFrame:
+    """Envelopes of the (requested) terms that answered without any rejected envelope.
+
+    With ``requested`` the terms to keep are a subset of a list of the driver, short enough to be
+    broadcast, so that no payload is shuffled however many of them one term has.
+    """
+    terms = _usable_terms(judged_envelopes)
+    if requested is not None:
+        asked = dimension(judged_envelopes.sparkSession, term=list(requested))
+        terms = asked.join(terms, "term", "left_semi")
+        terms = F.broadcast(terms) if len(requested) <= MAX_BROADCAST_TERMS else terms
+    return judged_envelopes.drop("reject_reason").join(terms, "term", "left_semi")
 
 
 def page_completeness(envelopes: DataFrame, page_size: int = 10) -> DataFrame:
@@ -150,8 +164,3 @@ def since_days(df: DataFrame, days: int | None, today: Column | None = None) ->
     now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) if today is None else today
     start = F.date_sub(now.cast("date"), days).cast("timestamp_ntz")
     return df.where(F.col("datetime") >= start)
-
-
-def terms_frame(spark: SparkSession, terms: Sequence[str]) -> DataFrame:
-    """Requested terms as a table."""
-    return dimension(spark, term=list(terms))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +16,13 @@ from newsloom.sources.landing import (
 
 
 def ingest_new(
-    spark: SparkSession, landing: str, source: str, root: str, lexicon: Lexicon, **options
+    spark: SparkSession,
+    landing: str,
+    source: str,
+    root: str,
+    lexicon: Lexicon,
+    terms: Sequence[str] | None = None,
+    **options,
 ) -> StreamingQuery:
     """Put all newly landed envelopes of a source through a run, then stop.
 
@@ -25,7 +33,7 @@ def ingest_new(
     ingest = ingest_feed if source == SOURCE_A else ingest_pages
 
     def one_batch(envelopes: DataFrame, _: int) -> None:
-        good = usable_envelopes(judged(envelopes, key, with_status))
+        good = usable_envelopes(judged(envelopes, key, with_status), terms)
         if not good.isEmpty():
             run_source(ingest(good), source, root, lexicon, **options)
 

@@ -66,7 +66,8 @@ def page_completeness(spark, sf_dir):
 @query
 def ingest_multi_term(spark, sf_dir):
     envelopes = fx.partly_broken_envelopes(fx.articles(spark, sf_dir))
-    good = landing.usable_envelopes(landing.judged(envelopes, "results", True))
+    judged = landing.judged(envelopes, "results", True)
+    good = landing.usable_envelopes(judged, ["de", "en", "es", "fr"])
     return landing.ingest_pages(good).select(
         "title", "link", "datetime", joined("search_terms").alias("search_terms")
     )
@@ -75,8 +76,8 @@ def ingest_multi_term(spark, sf_dir):
 @query
 def missed_terms(spark, sf_dir):
     envelopes = fx.partly_broken_envelopes(fx.articles(spark, sf_dir))
-    asked = landing.terms_frame(spark, ["de", "en", "es", "fr", "xx"])
-    return landing.missed_terms(asked, landing.judged(envelopes, "results", True))
+    judged = landing.judged(envelopes, "results", True)
+    return landing.missed_terms(judged, ["de", "en", "es", "fr", "xx"])
 
 
 @query
@@ -379,7 +380,7 @@ def normalize_sentence(spark, sf_dir):
 @query
 def semantic_dedup(spark, sf_dir):
     vectors = fx.table(spark, sf_dir, "embeddings")
-    kept = semantic.greedy_dedup(vectors, "label", ["vec_id"], "embedding", threshold=0.3)
+    kept = semantic.greedy_dedup(vectors, "label", "vec_id", "embedding", threshold=0.3)
     return kept.select("label", "vec_id")
 
 

@@ -37,9 +37,10 @@ def test_feed_from_files(spark, tmp_path):
     land(tmp_path, "CRYPTO:ETH", 1, {"feed": [feed_item(1, title="eth")]})
     land(tmp_path, "CRYPTO:XRP", 1, "Error: 403")
     envelopes = landing.judged(landing.read_landing(spark, str(tmp_path)), "feed", False)
-    asked = landing.terms_frame(spark, ["CRYPTO:BTC", "CRYPTO:XRP", "CRYPTO:ADA"])
-    missed = landing.missed_terms(asked, envelopes)
+    missed = landing.missed_terms(envelopes, ["CRYPTO:BTC", "CRYPTO:XRP", "CRYPTO:ADA"])
     assert sorted(r.term for r in missed.collect()) == ["CRYPTO:ADA", "CRYPTO:XRP"]
+    only = landing.usable_envelopes(envelopes, ["CRYPTO:ETH", "CRYPTO:XRP"])
+    assert [r.term for r in only.collect()] == ["CRYPTO:ETH"]
     got = landing.ingest_feed(landing.usable_envelopes(envelopes)).collect()
     assert sorted((r.url, r.title, r.search_terms[0]) for r in got) == [
         ("u1", "eth", "CRYPTO:ETH"), ("u1", "t1 good", "CRYPTO:BTC"), ("u2", "t2 good", "CRYPTO:BTC"),
