@@ -37,14 +37,14 @@ def schema_profile(df: DataFrame, seq: str = "_seq") -> DataFrame:
     """Per column: name, type, whether it has nulls, and its first two different values.
 
     Two aggregates over the table with one row each: the second looks past the first example,
-    which reaches it as a scalar subquery.
+    which reaches it as a scalar subquery. Without an ordinal column the smallest values are shown.
     """
-    require_columns(df, [seq])
     names = [c for c in df.columns if c != seq]
-    texts = df.select(F.col(seq).alias("_o"), *[_text(df, c).alias(c) for c in names])
+    ordinal = [F.col(seq).alias("_o")] if seq in df.columns else []
+    texts = df.select(*ordinal, *[_text(df, c).alias(c) for c in names])
 
     def first_where(c: str, condition):
-        return F.min_by(c, F.when(condition, F.col("_o")))
+        return F.min_by(c, F.when(condition, F.col("_o" if ordinal else c)))
 
     firsts = texts.agg(
         F.struct(

@@ -53,12 +53,12 @@ def write_csv(
     compress: bool = False,
     versioned: bool = False,
     expected_columns: Sequence[str] | None = None,
-    profile: bool = False,
+    schema_format: str | None = None,
 ) -> str:
     """Write a folder of CSV parts and return its path. Lists are written as JSON.
 
-    ``versioned`` adds the earliest and latest ``datetime`` to the name; ``profile`` also writes
-    the schema profile next to it as JSON (needs ``_seq``).
+    ``versioned`` adds the earliest and latest ``datetime`` to the name; ``schema_format`` also
+    writes the schema profile next to it.
     """
     require_rows(require_columns(df, expected_columns or []), path)
     if versioned:
@@ -68,11 +68,29 @@ def write_csv(
     writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(
         path, compression="gzip" if compress else "none"
     )
-    if profile:
-        schema_profile(df).write.json(f"{path}.schema")
+    if schema_format:
+        write_schema(df, path, schema_format)
     return path
 
 
+def write_schema(df: DataFrame, path: str, schema_format: str = "yaml") -> str:
+    """Write the schema profile of a table as YAML or JSON lines: one entry per column."""
+    target = f"{path}.schema.{schema_format}"
+    columns = schema_profile(df).orderBy("position").select(
+        "name", "type", "nullable",
+        F.filter(F.array("example_1", "example_2"), lambda x: x.isNotNull()).alias("examples"),
+    )
+    if schema_format == "json":
+        columns.coalesce(1).write.json(target)
+    elif schema_format == "yaml":
+        # A JSON object is a YAML flow mapping.
+        entry = F.concat(F.lit("- "), F.to_json(F.struct(*columns.columns)))
+        columns.select(entry.alias("value")).coalesce(1).write.text(target)
+    else:
+        raise ValueError(f"unknown format {schema_format}")
+    return target
+
+
 def _listing(spark: SparkSession, folder: str, exclude: str | None) -> DataFrame:
     """Files of a folder that are CSV by name, with their compression."""
     name = F.regexp_extract("path", r"([^/]+)$", 1)

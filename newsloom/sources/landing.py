@@ -157,10 +157,12 @@ def page_completeness(envelopes: DataFrame, page_size: int = 10) -> DataFrame:
     )
 
 
+def lookback_start(days: int, today: Column | None = None) -> Column:
+    """Midnight UTC ``days`` days ago, zone-free. ``today`` makes results repeatable."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) if today is None else today
+    return F.date_sub(now.cast("date"), days).cast("timestamp_ntz")
+
+
 def since_days(df: DataFrame, days: int | None, today: Column | None = None) -> DataFrame:
     """Rows from midnight UTC ``days`` ago on; all rows if ``days`` is null."""
-    if days is None:
-        return df
-    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) if today is None else today
-    start = F.date_sub(now.cast("date"), days).cast("timestamp_ntz")
-    return df.where(F.col("datetime") >= start)
+    return df if days is None else df.where(F.col("datetime") >= lookback_start(days, today))

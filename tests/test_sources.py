@@ -93,6 +93,24 @@ def test_csv_round_trip(spark, tmp_path):
         files.write_csv(df.limit(0), str(tmp_path / "x"))
 
 
+@pytest.mark.parametrize("form", ["yaml", "json"])
+def test_schema_next_to_the_csv(spark, tmp_path, form):
+    df = spark.createDataFrame([("a: b", 1), (None, 2)], "s string, n bigint")
+    path = files.write_csv(df, str(tmp_path / "out"), schema_format=form)
+    lines = [r.value for r in spark.read.text(f"{path}.schema.{form}").collect()]
+    entries = [json.loads(line.removeprefix("- ")) for line in lines]
+    assert [(e["name"], e["type"], e["nullable"]) for e in entries] == [("s", "string", True), ("n", "int64", False)]
+    assert entries[0]["examples"] == ["a: b"] and len(entries[1]["examples"]) == 2
+    with pytest.raises(ValueError):
+        files.write_schema(df, str(tmp_path / "x"), "xml")
+
+
+def test_lookback_start(spark):
+    now = F.lit("2024-03-01 00:30:00").cast("timestamp_ntz")
+    text = F.date_format(landing.lookback_start(1, now), "yyyyMMdd'T'HHmm")
+    assert spark.range(1).select(text).first()[0] == "20240229T0000"
+
+
 def test_folder_scan_and_summary(spark, tmp_path):
     (tmp_path / "a.csv").write_text('x,y\n1,"two, and\nmore"\n')
     with gzip.open(tmp_path / "b.csv.gz", "wt") as f:
