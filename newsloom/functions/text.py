@@ -9,10 +9,11 @@ import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.functions.lookup import let, lookup
+from newsloom.dictionaries import BOOSTERS, ENGLISH_STOPWORDS, NEGATIONS
+from newsloom.functions.lookup import MAX_ENTRIES, let, lookup
 from newsloom.functions.parse import WS, empty_list, strip
 
 WORD = r"[\p{L}\p{N}_]+"
@@ -104,6 +105,29 @@ class Lexicon:
         return F.length(c) - F.length(F.replace(c, F.lit(mark), F.lit("")))
 
 
+def english_lexicon(
+    valence: Mapping[str, float], base_forms: Mapping[str, str] | None = None
+) -> Lexicon:
+    """Word valences with the published English boosters, negations and stopwords."""
+    return Lexicon(valence, BOOSTERS, NEGATIONS, ENGLISH_STOPWORDS, base_forms or {})
+
+
+def read_dictionary(spark: SparkSession, path: str, value_type: str = "double") -> dict:
+    """A dictionary from a tab-separated file of words and values; further columns are ignored.
+
+    That is how valence lists and lemma lists (``value_type="string"``) are commonly published.
+    """
+    rows = (
+        spark.read.option("sep", "\t").option("quote", "")
+        .schema(f"word string, value {value_type}").csv(path)
+        .where("word IS NOT NULL AND value IS NOT NULL")
+        .take(MAX_ENTRIES + 1)
+    )
+    if len(rows) > MAX_ENTRIES:
+        raise ValueError(f"more than {MAX_ENTRIES} words in {path}")
+    return {r.word: r.value for r in rows}
+
+
 def _with_context(terms: Column, i: Column, own: Column) -> Column:
     """Valence of a word after the up to three words before it had their say."""
 

@@ -121,3 +121,16 @@ def test_base_forms_decide_what_counts_as_a_word(spark):
     assert run(spark, score, "u") == pytest.approx(compound(1.0))
     # The single letter and what becomes one are no words, so the booster still is the next before.
     assert run(spark, score, "very xx z good") == pytest.approx(compound(1.9 + 0.293))
+
+
+def test_english_lexicon_from_files(spark, tmp_path):
+    (tmp_path / "valence.tsv").write_text("good\t1.9\t0.9\t[2, 1]\n:)\t2.0\t1\t[2]\n\"odd\t-1.0\t0\t[]\n")
+    (tmp_path / "lemmas.tsv").write_text("goods\tgood\n")
+    valence = X.read_dictionary(spark, str(tmp_path / "valence.tsv"))
+    assert valence == {"good": 1.9, ":)": 2.0, '"odd': -1.0}
+    lexicon = X.english_lexicon(valence, X.read_dictionary(spark, str(tmp_path / "lemmas.tsv"), "string"))
+    score = lambda c: X.lexicon_score(c, lexicon)
+    assert run(spark, score, "The goods") == pytest.approx(compound(1.9))
+    # "not" and "very" are stopwords and gone before scoring; "never" and "extremely" are not.
+    assert run(spark, score, "not very good") == pytest.approx(compound(1.9))
+    assert run(spark, score, "never extremely good") == pytest.approx(compound((1.9 + 0.293) * -0.74))
