@@ -104,10 +104,9 @@ def normalize_terms(c: Column, null_as_empty: bool = False) -> Column:
 
 def safe_eval(c: Column) -> Column:
     """Lists only from text that opens a bracket; a broken list is an error."""
-    parsed = _list_or_null(c)
     broken = F.raise_error(F.concat(F.lit("not a list: "), c)).cast("array<string>")
     return F.when(
-        strip(c).startswith("["), F.when(parsed.isNull(), broken).otherwise(parsed)
+        strip(c).startswith("["), F.coalesce(_list_or_null(c), broken)
     ).otherwise(empty_list())
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.lookup import let
 from newsloom.functions.parse import list_of, literal_to_json, strip
 
 
@@ -28,24 +29,27 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 def reject_reason(payload: Column, key: str = "results", check_status: bool = True) -> Column:
     """Why a landed API answer is unusable, or null if it is fine."""
     text = strip(payload)
-    answer = F.try_parse_json(text)
-    value = F.try_variant_get(answer, f"$.{key}", "variant")
-    scalar = F.try_variant_get(value, "$", "string")
-    empty = (
-        F.is_variant_null(value)
-        | (F.coalesce(F.size(F.try_variant_get(value, "$", "array<variant>")), F.lit(1)) == 0)
-        | F.coalesce(scalar.isin("", "0", "0.0", "false", "{}", "[]"), F.lit(False))
-    )
-    failed = ~F.coalesce(
-        F.try_variant_get(answer, "$.status", "string") == "success", F.lit(False)
-    )
-    return (
-        F.when(answer.isNull() | text.startswith('"'), "string")
-        .when(~text.startswith("{"), "not_an_object")
-        .when(failed & F.lit(check_status), "bad_status")
-        .when(value.isNull(), "missing_key")
-        .when(empty, "empty_key")
-    )
+
+    def judge(answer: Column) -> Column:
+        value = F.try_variant_get(answer, f"$.{key}", "variant")
+        items = F.size(F.try_variant_get(value, "$", "array<variant>"))
+        scalar = F.try_variant_get(value, "$", "string")
+        empty = (
+            F.is_variant_null(value)
+            | (F.coalesce(items, F.lit(1)) == 0)
+            | F.coalesce(scalar.isin("", "0", "0.0", "false", "{}", "[]"), F.lit(False))
+        )
+        status = F.try_variant_get(answer, "$.status", "string")
+        failed = F.lit(check_status) & ~F.coalesce(status == "success", F.lit(False))
+        return (
+            F.when(answer.isNull() | text.startswith('"'), "string")
+            .when(~text.startswith("{"), "not_an_object")
+            .when(failed, "bad_status")
+            .when(value.isNull(), "missing_key")
+            .when(empty, "empty_key")
+        )
+
+    return let(F.try_parse_json(text), judge)
 
 
 def kind_of(c: Column) -> Column:

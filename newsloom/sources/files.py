@@ -131,13 +131,10 @@ def folder_scan(
 ) -> DataFrame:
     """Union of all CSV files of a folder, which may have different columns.
 
-    Files with the same header are read by one scan. Unreadable files are skipped; no file at all
-    gives an empty table.
+    Files with the same header are read by one scan, given as a list of paths as Spark's own file
+    index would hold it. Unreadable files are skipped; no file at all gives an empty table.
     """
-    files = _headers(spark, folder).join(
-        _listing(spark, folder, exclude).withColumn("path", F.regexp_replace("path", "^dbfs:", "")),
-        "path", "left_semi",
-    )
+    files = _headers(spark, folder).join(_listing(spark, folder, exclude), "path", "left_semi")
     groups = files.groupBy("header").agg(F.collect_list("path").alias("paths"))
     found = groups.orderBy("header").take(MAX_HEADERS + 1)
     if len(found) > MAX_HEADERS:
