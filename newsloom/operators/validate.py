@@ -72,7 +72,7 @@ def kind_of(c: Column) -> Column:
 
 def _shares(df: DataFrame) -> DataFrame:
     counts = df.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.select("kind", "n", (F.col("n") / total).alias("share"))
 
 
