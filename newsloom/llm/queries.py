@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm.jaccard import jaccard_classes
+from newsloom.llm.packing import packed_sequences
 from newsloom.llm.suffixes import remove_repeats
 
+# The vocabulary file that documents are packed by. A parameter of the operators, never part of this repository.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -22,12 +27,17 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_sequences(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op9_jaccard_join": op9_jaccard_join,
 }
 

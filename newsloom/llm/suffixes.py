@@ -27,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from newsloom.llm import texts as X
 from newsloom.session import stored
@@ -470,9 +469,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
     if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
         return docs.withColumn("at", F.col("doc_id")), True
     ordered = docs.orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    schema = T.StructType([*docs.schema.fields, T.StructField("at", T.LongType())])
-    rows = ordered.rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    return stored(docs.sparkSession.createDataFrame(rows, schema), "numbered"), False
+    return stored(ordered.withColumn("at", F.monotonically_increasing_id()), "numbered"), False
 
 
 def remove_repeats(

@@ -5,7 +5,9 @@ All functions work on whole texts. A null text is an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def kept_in_process(name: str, make: Callable[[], object]) -> object:
+    """What a worker process makes once and keeps for its later tasks; it must not change results."""
+    kept = sys.modules.setdefault("newsloom_worker_state", types.ModuleType("newsloom_worker_state")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def only(df: DataFrame, id_column: str, text: str, *more: str) -> DataFrame:
     """The columns an operator reads, under the names it uses: a null text is empty, ids are long.
 
