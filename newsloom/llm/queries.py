@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm.jaccard import jaccard_classes
+from newsloom.llm.mixing import MIX_SQL, mix_sources
 from newsloom.llm.packing import packed_sequences
 from newsloom.llm.suffixes import remove_repeats
 
@@ -35,10 +36,17 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_mix_sources": MIX_SQL,
+}
