@@ -12,6 +12,7 @@ from newsloom.llm.jaccard import jaccard_classes
 from newsloom.llm.mixing import MIX_SQL, mix_sources
 from newsloom.llm.packing import packed_sequences
 from newsloom.llm.suffixes import remove_repeats
+from newsloom.llm.topk import TOP_K_SQL, top_k
 
 # The vocabulary file that documents are packed by. A parameter of the operators, never part of this repository.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +33,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"))
 
@@ -43,10 +48,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_top_k": op8_top_k,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_top_k": TOP_K_SQL,
     "op10_mix_sources": MIX_SQL,
 }
