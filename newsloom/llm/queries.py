@@ -13,6 +13,7 @@ from newsloom.llm.mixing import MIX_SQL, mix_sources
 from newsloom.llm.packing import packed_sequences
 from newsloom.llm.suffixes import remove_repeats
 from newsloom.llm.topk import TOP_K_SQL, top_k
+from newsloom.llm.vectors import near_duplicates
 
 # The vocabulary file that documents are packed by. A parameter of the operators, never part of this repository.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -46,6 +51,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op8_top_k": op8_top_k,
