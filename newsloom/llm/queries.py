@@ -14,6 +14,7 @@ from newsloom.llm.packing import packed_sequences
 from newsloom.llm.suffixes import remove_repeats
 from newsloom.llm.topk import TOP_K_SQL, top_k
 from newsloom.llm.vectors import near_duplicates
+from newsloom.llm.warc import WARC_SQL, archive_pages, read_bundles
 
 # The vocabulary file that documents are packed by. A parameter of the operators, never part of this repository.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +39,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_bundles(archive_pages(_table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -54,12 +60,14 @@ QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_warc": op6_warc,
     "op8_top_k": op8_top_k,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_warc": WARC_SQL,
     "op8_top_k": TOP_K_SQL,
     "op10_mix_sources": MIX_SQL,
 }
