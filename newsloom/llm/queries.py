@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm.jaccard import jaccard_classes
+from newsloom.llm.licenses import scan_licenses
 from newsloom.llm.mixing import MIX_SQL, mix_sources
 from newsloom.llm.packing import packed_sequences
 from newsloom.llm.suffixes import remove_repeats
@@ -44,6 +45,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_warc": op6_warc,
+    "op7_license_scan": op7_license_scan,
     "op8_top_k": op8_top_k,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
