@@ -13,6 +13,7 @@ from newsloom.llm.licenses import scan_licenses
 from newsloom.llm.mixing import MIX_SQL, mix_sources
 from newsloom.llm.packing import packed_sequences
 from newsloom.llm.suffixes import remove_repeats
+from newsloom.llm import toxicity
 from newsloom.llm.topk import TOP_K_SQL, top_k
 from newsloom.llm.vectors import near_duplicates
 from newsloom.llm.warc import WARC_SQL, archive_pages, read_bundles
@@ -36,6 +37,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score_texts(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -64,6 +71,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_toxicity": op3_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_warc": op6_warc,
     "op7_license_scan": op7_license_scan,
