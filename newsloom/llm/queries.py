@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm.jaccard import jaccard_classes
+from newsloom.llm.language import identify
 from newsloom.llm.licenses import scan_licenses
 from newsloom.llm.mixing import MIX_SQL, mix_sources
 from newsloom.llm.packing import packed_sequences
@@ -43,6 +44,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents declare their language in ``lang``; their source stands for the host."""
+    found = identify(_table(spark, sf_dir, "documents"), F.col("text"), F.col("lang"), F.col("source"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "language", "probability", "rejected")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -72,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_warc": op6_warc,
     "op7_license_scan": op7_license_scan,
