@@ -6,8 +6,8 @@
    similarity share a column among the first ``n - ceil(t * n) + 1`` of either, so only that part of each row is
    kept, and frequent words, lines and passages drop out of nearly all rows.
 3. Columns are dealt to blocks. A block multiplies its columns: it accumulates the overlap of each pair that meets in
-   it and discards pairs whose sizes alone rule the similarity out. A column of more than ``WIDE`` rows is paired
-   with its first row of each size range only.
+   it and discards pairs that their sizes and the place of the column in either row rule out. A column of more than
+   ``WIDE`` rows is only paired with one of its rows per size range.
 4. Pairs are compared by their whole sets, and those that pass are links.
 5. Of the wide columns, only rows in different components may still hide a link: those pairs, and no others, are
    compared too. A group of thousands of near copies is one component by then and gives no pairs.
@@ -35,7 +35,7 @@ WIDE = 24
 # Entries that a task holds before it passes them on.
 HELD = 1 << 20
 
-_ENTRY = np.dtype([("key", "<u8"), ("doc", "<i8"), ("n", "<i4")])
+_ENTRY = np.dtype([("key", "<u8"), ("doc", "<i8"), ("n", "<i4"), ("at", "<i4")])
 _PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])
 
 
@@ -114,10 +114,9 @@ def _entries(k: int, percent: int, blocks: int, classes):
                 seen.add(mark)
                 keep = len(s) - -(-percent * len(s) // 100) + 1
                 keys = (table[(s & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
-                if keep < len(keys):
-                    keys = np.partition(keys, keep - 1)[:keep]
                 part = np.zeros(keep, _ENTRY)
-                part["key"], part["doc"], part["n"] = keys, ids[i], len(s)
+                part["key"], part["at"] = np.sort(np.partition(keys, keep - 1)[:keep]), np.arange(keep)
+                part["doc"], part["n"] = ids[i], len(s)
                 held.append(part)
                 count += keep
             if count >= HELD:
@@ -137,9 +136,13 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.append(starts, len(keys)))
 
 
-def _may_link(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes allow the similarity: the smaller set may lie in the larger one whole."""
-    return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+def _may_link(n: np.ndarray, i: np.ndarray, m: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` columns may be similar if their first common one is their column ``i`` and ``j``.
+
+    Then at most min(n - i, m - j) are common, and the similarity takes percent / (100 + percent) of n + m. A similar
+    pair passes in its first common column, so it is lost nowhere, whatever it does in others.
+    """
+    return (100 + percent) * np.minimum(n - i, m - j) >= percent * (n + m)
 
 
 def _product(percent: int, buckets: int):
@@ -151,23 +154,25 @@ def _product(percent: int, buckets: int):
             return
         e = e[np.lexsort((e["doc"], e["n"], e["key"]))]
         starts, lengths = _runs(e["key"])
-        n, doc = e["n"].astype(np.int64), e["doc"]
+        n, at, doc = e["n"].astype(np.int64), e["at"].astype(np.int64), e["doc"]
         left, right = [], []
         for length in np.unique(lengths[(lengths > 1) & (lengths <= WIDE)]):
             rows = starts[lengths == length]
             i, j = np.triu_indices(length, 1)
             for part in np.array_split(rows, -(-len(rows) * len(i) // HELD)):
                 a, b = (part[:, None] + i).ravel(), (part[:, None] + j).ravel()
-                fits = _may_link(n[a], n[b], percent)
+                fits = _may_link(n[a], at[a], n[b], at[b], percent)
                 left.append(doc[a[fits]])
                 right.append(doc[b[fits]])
         wide = np.flatnonzero(lengths > WIDE)
-        for at in wide:
-            s, t = starts[at], starts[at] + lengths[at]
+        for x in wide:
+            s, t = starts[x], starts[x] + lengths[x]
             while s < t:
                 stop = s + np.searchsorted(n[s:t], n[s] * 100 // percent, "right")
-                left.append(np.full(stop - s - 1, doc[s]))
-                right.append(doc[s + 1 : stop])
+                lead = s + np.argmin(at[s:stop])  # few of its columns are rarer, so it is most like the others
+                fits = s + np.flatnonzero(_may_link(n[s:stop], at[s:stop], n[lead], at[lead], percent))
+                left.append(np.full(len(fits), doc[lead]))
+                right.append(doc[fits])
                 s = stop
         if left:
             pairs = np.zeros(sum(map(len, left)), _PAIR)
@@ -178,7 +183,7 @@ def _product(percent: int, buckets: int):
                 found = X.packed((X.mix(pairs["a"].view(np.uint64) * np.uint64(3) + pairs["b"].view(np.uint64)) % np.uint64(buckets)).astype(np.int32), pairs)
                 yield found.append_column("wide", pa.array(np.zeros(found.num_rows, bool)))
         if len(wide):
-            rows = np.concatenate([np.arange(starts[at], starts[at] + lengths[at]) for at in wide])
+            rows = np.concatenate([np.arange(starts[x], starts[x] + lengths[x]) for x in wide])
             found = X.packed((np.arange(len(rows)) // HELD).astype(np.int32), e[rows])
             yield found.append_column("wide", pa.array(np.ones(found.num_rows, bool)))
 
@@ -193,7 +198,7 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _unpack_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         e = X.unpacked(iter([batch]), _ENTRY)
-        yield pa.record_batch({"key": pa.array(e["key"].view(np.int64)), "doc": pa.array(e["doc"]), "n": pa.array(e["n"].astype(np.int64))})
+        yield pa.record_batch({"key": pa.array(e["key"].view(np.int64)), "doc": pa.array(e["doc"]), "n": pa.array(e["n"].astype(np.int64)), "at": pa.array(e["at"].astype(np.int64))})
 
 
 def _compare(k: int, percent: int):
@@ -274,19 +279,19 @@ def jaccard_classes(
     labels = components(links)
 
     # What wide columns may still hide: pairs in different components.
-    wide = product.where("wide").select("records").mapInArrow(_unpack_entries, "key long, doc long, n long")
-    wide = wide.join(named, wide["doc"] == named["doc_id"]).select("key", F.col("first").alias("node"), "n")
-    wide = wide.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component")).distinct()
+    wide = product.where("wide").select("records").mapInArrow(_unpack_entries, "key long, doc long, n long, at long")
+    wide = wide.join(named, wide["doc"] == named["doc_id"]).select("key", F.col("first").alias("node"), "n", "at")
+    wide = wide.join(labels, "node", "left").select("key", "node", "n", "at", F.coalesce("component", "node").alias("component")).distinct()
     mixed = wide.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
     wide = stored(wide.join(mixed, "key", "left_semi"), "wide")
     if not wide.isEmpty():
-        left = wide.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-        right = wide.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-        small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-        more = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (100 * small >= percent * large))
+        left = wide.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), (F.col("n") - F.col("at")).alias("rest_a"), F.col("component").alias("c_a"))
+        right = wide.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), (F.col("n") - F.col("at")).alias("rest_b"), F.col("component").alias("c_b"))
+        may_link = (100 + percent) * F.least("rest_a", "rest_b") >= percent * (F.col("n_a") + F.col("n_b"))
+        more = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & may_link)
         more = stored(more.select("a", "b").distinct().join(first_pairs, ["a", "b"], "left_anti"), "pairs")
-        late = stored(_links(docs, more, k, percent, parts), "found")
-        labels = components(links.union(late))
+        if not more.isEmpty():
+            labels = components(links.union(stored(_links(docs, more, k, percent, parts), "found")))
 
     of_class = named.join(labels, named["first"] == labels["node"], "left")
     of_id = of_class.groupBy("doc_id").agg(F.min(F.coalesce("component", "first")).alias("component_id"))
