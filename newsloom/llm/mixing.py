@@ -58,28 +58,30 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: fl
 
 
 def mix_sources(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", carry: Sequence[str] = (),
     weights: Sequence[float] = WEIGHTS, cap: float = CAP, seed: str = "mix",
 ) -> DataFrame:
-    """Rows (doc_id, size, source_size, target, copies, taken), one for each row of ``docs``.
+    """Rows (doc_id, size, source_size, target, copies, taken), one for each row of ``docs``, with its columns ``carry``.
 
     ``size`` is the number of words; a null, empty or blank text has none. ``copies`` says how often the mix takes the
-    document, and ``taken`` is copies * size. A document of no words is taken as often as its source's certain copies.
-    No document is taken more than ``cap`` times, rounded up. A source's taken words miss its target by half a
-    document at most. The random number of a row comes from the seed and its id alone, so reruns agree; rows with the
-    same id (or none) share it, and are put in order by size. Null sources are one source of their own. An empty table
-    gives an empty result. Other columns are not read.
+    document, and ``taken`` is copies * size. No document is taken more than ``cap`` times, rounded up. A source's taken
+    words miss its target by half a document at most. A document of no words ranks like any other.
+
+    The random number of a row comes from the seed and its id alone, so reruns agree. Rows with the same id (or none)
+    share it and rank by size; rows equal in both are taken or left together. Null sources are one source of their own.
+    An empty table gives an empty result. Other columns are not read.
     """
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13)
     rows = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.col(f"`{source}`").cast("string").alias("source"),
         word_count(f"`{text}`").alias("size"),
+        F.struct(*(F.col(f"`{c}`") for c in carry) if carry else [F.lit(True)]).alias("carry"),
     )
-    digits = F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13)
     rows = rows.withColumn("draw", F.conv(digits, 16, 10).cast("long"))
     rows = rows.withColumn("interval", F.floor(F.col("draw") / F.lit(_STEPS // INTERVALS)).cast("int"))
-    rows = stored(rows, "sizes")  # texts are read once
-    sums = stored(rows.groupBy("source", "interval").agg(F.sum("size").alias("words")), "sums")
+    sized = stored(rows.drop("carry"), "sizes")
+    sums = stored(sized.groupBy("source", "interval").agg(F.sum("size").alias("words")), "sums")
     targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap)
     ratio = F.col("target") / F.expr("nullif(source_size, 0)")
     targets = targets.withColumn("certain", F.coalesce(F.floor(ratio), F.lit(0)).cast("long"))
@@ -93,19 +95,26 @@ def mix_sources(
     fields = ["source", "source_size", "target", "certain", "lacking", "chance"]
     cut = running.alias("s").join(targets.alias("t"), F.expr("s.source <=> t.source")).groupBy(*(F.col(f"t.{f}") for f in fields))
     cut = cut.agg(F.max(F.when(F.col("before") < F.col("lacking"), F.struct("interval", "before"))).alias("cut"))
-    cut = stored(cut.select(F.col("source").alias("of"), *fields[1:], F.col("cut.interval").alias("last"), F.col("cut.before").alias("before")), "cut")
+    cut = cut.select(F.col("source").alias("of"), *fields[1:], F.col("cut.interval").alias("last"), F.col("cut.before").alias("before"))
+    cut = stored(cut, "cut")
 
-    placed = rows.join(cut, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    # The documents of that interval are ranked; the last one taken is the bound.
     u = (F.col("draw") + 0.5) / F.lit(float(_STEPS))
     rank = (u / (1 - u)) / (F.col("chance") / (1 - F.col("chance")))
-    edge = placed.where("interval = last")
-    order = Window.partitionBy("source").orderBy(rank, "draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    spot = F.struct("draw", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "size")
+    edge = sized.join(cut, F.col("source").eqNullSafe(F.col("of"))).where("interval = last")
+    order = Window.partitionBy("of").orderBy(rank, spot).rowsBetween(Window.unboundedPreceding, -1)
     edge = edge.withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
     fits = (F.col("ahead") + F.col("size") / 2 <= F.col("lacking")) & (F.col("ahead") < F.col("lacking"))
-    rest = placed.where("last is null or interval != last").withColumn("more", F.coalesce(F.col("interval") < F.col("last"), F.lit(False)))
-    out = edge.withColumn("more", fits).drop("ahead").unionByName(rest)
-    copies = F.col("certain") + F.col("more").cast("long")
-    return out.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    bound = edge.groupBy("of").agg(F.max(F.when(fits, spot)).alias("bound"))
+    cut = cut.alias("c").join(bound.alias("b"), F.expr("c.of <=> b.of"), "left").select("c.*", "b.bound")
+    cut = stored(cut, "cut")  # a row per source, so Spark knows whether to broadcast it
+
+    out = (rows if carry else sized.withColumn("carry", F.struct(F.lit(True)))).join(cut, F.col("source").eqNullSafe(F.col("of")))
+    more = (F.col("interval") < F.col("last")) | ((F.col("interval") == F.col("last")) & (spot <= F.col("bound")))
+    copies = F.col("certain") + F.coalesce(more, F.lit(False)).cast("long")
+    kept = [F.col(f"carry.`{c}`") for c in carry]
+    return out.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), *kept)
 
 
 # The same rows in DuckDB's SQL, with the order of all documents of a source.
