@@ -1,0 +1,85 @@
+"""Classes of similar texts against all pairs of sets."""
+
+import random
+import re
+
+import pytest
+
+from newsloom.llm import jaccard
+from newsloom.llm.components import components
+from newsloom.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingles(text, k=4):
+    found = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(found[i : i + k]) for i in range(len(found) - k + 1)} if len(found) >= k else ({tuple(found)} if found else set())
+
+
+def brute(rows, percent=85):
+    """(n, component) by row; ids are nodes, rows without one have no component."""
+    sets = [shingles(t) for _, t in rows]
+    root = {i: i for i, _ in rows if i is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (a, _) in enumerate(rows):
+        for j, (b, _) in enumerate(rows[:i]):
+            if a is not None and b is not None and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return sorted(((i, len(s), None if i is None else find(i)) for (i, _), s in zip(rows, sets, strict=True)), key=str)
+
+
+def test_odd_rows(odd, odd_rows):
+    got = jaccard.jaccard_classes(odd)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted(map(tuple, got.collect()), key=str) == brute([r[:2] for r in odd_rows])
+
+
+def test_empty(empty):
+    assert jaccard.jaccard_classes(empty).collect() == []
+
+
+def test_whole_table(spark, real):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{real}/documents.parquet").collect()]
+    assert sorted(map(tuple, QUERIES["op9_jaccard_join"](spark, real).collect()), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("wide", [2, 24])
+def test_crowds_of_near_copies(spark, monkeypatch, wide):
+    """Chains of copies of copies: not all pairs link, and wide columns hide links between components."""
+    monkeypatch.setattr(jaccard, "WIDE", wide)
+    random.seed(wide)
+    rows, texts = [], [[f"t{k}_{i}" for i in range(80)] for k in range(3)]
+    for i in range(90):
+        words = random.choice(texts).copy()
+        words[random.randrange(80)] = f"new{i}"
+        if random.random() < 0.5:
+            texts.append(words)
+        rows.append((i * 7 % 90, " ".join(words)))
+    got = jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+
+
+def test_components(spark):
+    random.seed(3)
+    links = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (5, 200), (200, 5)] + [(300, i) for i in range(301, 340)]
+    links += [(random.randrange(400, 500), random.randrange(400, 500)) for _ in range(60)]
+    root = {x: x for e in links for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: find(x) for e in links if e[0] != e[1] for x in e}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []

@@ -1,0 +1,79 @@
+"""Removed bytes against a dictionary of all strings."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from newsloom.llm import suffixes
+from newsloom.llm.queries import QUERIES
+
+
+def brute(rows, length=100):
+    """Rows (id, bytes, removed, spans, kept) of rows (id, text)."""
+    seen, out = set(), []
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - length + 1):
+            piece = data[p : p + length]
+            if piece in seen:
+                gone[p : p + length] = b"\1" * length
+            seen.add(piece)
+        spans = sum(1 for p in range(len(gone)) if gone[p] and (p == 0 or not gone[p - 1]))
+        out.append((i, len(data), sum(gone), spans, bytes(c for c, g in zip(data, gone, strict=True) if not g)))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("hot", [2, 2000])
+def test_odd_rows(odd, odd_rows, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    assert got(suffixes.remove_repeats(odd)) == brute([r[:2] for r in odd_rows])
+
+
+def test_empty(empty):
+    assert suffixes.remove_repeats(empty).collect() == []
+
+
+@pytest.mark.parametrize("hot", [3, 2000])
+def test_periodic_and_shared_texts(spark, monkeypatch, hot):
+    """Runs of one byte, short periods, and passages at any offset."""
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "TILE", 700)
+    random.seed(hot)
+    passages = ["".join(random.choice("abc ") for _ in range(random.randrange(60, 300))) for _ in range(6)]
+    rows = [(0, "a" * 500), (1, "ab" * 300), (2, "a" * 99), (3, "a" * 100), (4, "xyz" * 1000)]
+    for i in range(5, 60):
+        parts = [random.choice(passages) if random.random() < 0.5 else "".join(random.choice("abcdef") for _ in range(random.randrange(150))) for _ in range(5)]
+        rows.append((i * 13 % 211, "".join(parts)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(suffixes.remove_repeats(df)) == brute(rows)
+
+
+def test_whole_table(spark, real):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{real}/documents.parquet").collect()]
+    want = [(i, n, r, s, hashlib.sha256(kept).hexdigest()) for i, n, r, s, kept in brute(rows)]
+    assert sorted(map(tuple, QUERIES["op2_suffix_dedup"](spark, real).collect()), key=str) == sorted(want, key=str)
+
+
+def test_construction_alone():
+    random.seed(5)
+    texts = ["".join(random.choice("ab") for _ in range(random.randrange(6, 14))) for _ in range(200)]
+    left = np.asarray([random.randrange(0, 4) for _ in texts])
+    size = np.asarray([len(t) for t in texts])
+    found = suffixes.repeated_windows(left, size, np.frombuffer("".join(texts).encode(), np.uint8), np.arange(len(texts)), 6)
+    for i, t in enumerate(texts):
+        for s in range(min(left[i], len(t) - 6) + 1):
+            first = min(j for j, u in enumerate(texts) if 0 <= s - left[i] + left[j] and u[s - left[i] + left[j] :][:6] == t[s : s + 6])
+            assert found[i, s] == (first < i)
+
+
+def test_carried_columns(odd):
+    kept = suffixes.remove_repeats(odd, carry=["n_chars", "carry", "at"])
+    assert kept.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_chars", "carry", "at"]
+    assert {(r.carry, r["at"]) for r in kept.collect()} == {(1, "clash")}
