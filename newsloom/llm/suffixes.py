@@ -21,7 +21,7 @@ further, into single windows, whose key is the window itself.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +37,14 @@ HOT_TABLE = 1 << 16
 # Entries, and bytes of pieces, that a task holds before it passes them on.
 HELD = 1 << 20
 HELD_BYTES = 1 << 22
+# Bytes of pieces that share the rounds of a construction; pieces of one key always do.
+ROUND_BYTES = 1 << 20
 # Bytes of text per slice, and windows per tile of a longer text: a place in a tile takes 24 bits.
 SLICE = 1 << 18
 TILE = 1 << 23
 
 _ANCHOR = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("count", "<i8")])
-_PIECE = np.dtype(
-    [("key", "<u8"), ("one", "<u8"), ("two", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("left", "<i4"), ("size", "<i4")]
-)
+_PIECE = np.dtype([("key", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("left", "<i4"), ("size", "<i4")])
 _MARK = np.dtype([("doc", "<i8"), ("start", "<i8"), ("end", "<i8")])
 _ROWS = "bucket int, kind int, records binary, bytes binary"
 _ENTRY, _KNOWN, _FREQUENT, _PIECES, _MARKS = range(5)
@@ -53,6 +53,32 @@ _RANDOM = np.random.default_rng(11).integers(1, 1 << 63, (3, 256), dtype=np.uint
 _FACTORS = [int(x) | 1 for x in np.random.default_rng(12).integers(1, 1 << 63, 64)]
 
 
+class Fingerprints:
+    """128-bit hashes of stretches of a byte array."""
+
+    def __init__(self) -> None:
+        self.words = X.Words()
+
+    def __call__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(data) <= 2 * SLICE or (start[1:] < start[:-1]).any():
+            return self._all(data, start, size)
+        # Stretches in order: a part of them, and of the bytes, at a time.
+        cuts = np.flatnonzero(np.diff(start // SLICE, prepend=-1))
+        parts = []
+        for i, j in zip(cuts, np.append(cuts[1:], len(start)), strict=True):
+            low = int(start[i])
+            parts.append(self._all(data[low : int((start[i:j] + size[i:j]).max())], start[i:j] - low, size[i:j]))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _all(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.words._grow(len(data))
+        out = []
+        for values in _RANDOM[1:]:
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values[data] * self.words.powers[: len(data)])))
+            out.append(X.mix((sums[start + size] - sums[start]) * self.words.inverses[start]))
+        return out[0], out[1]
+
+
 def _gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     """A hash of the ``k`` bytes from each place on, by doubling."""
     h, width, out, done, level = _RANDOM[0][data], 1, None, 0, 0
@@ -116,7 +142,7 @@ def _rows(kind: int, buckets: np.ndarray, records: np.ndarray, data: np.ndarray
         index = np.repeat(old - starts, records["size"]) + np.arange(int(records["size"].sum()))
         data = data[1][index]
         starts = np.append(starts, len(data))
-        blobs = [data[starts[a] : starts[b]].tobytes() for a, b in zip(cuts, ends, strict=True)]
+        blobs = [pa.compress(data[starts[a] : starts[b]].tobytes(), "zstd", asbytes=True) for a, b in zip(cuts, ends, strict=True)]
     return pa.record_batch(
         {
             "bucket": pa.array(buckets[cuts].astype(np.int32), pa.int32()),
@@ -239,11 +265,11 @@ def union_of_spans(marks: np.ndarray) -> np.ndarray:
     return out
 
 
-def _equal_pieces(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _equal_pieces(pieces: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first piece of each group of equal ones, and the marks of the others: all their windows repeat."""
-    order = np.lexsort((pieces["at"], pieces["doc"], pieces["size"], pieces["left"], pieces["two"], pieces["one"], pieces["key"]))
+    order = np.lexsort((pieces["at"], pieces["doc"], pieces["size"], pieces["left"], two, one, pieces["key"]))
     p = pieces[order]
-    first = _firsts(p["key"], p["one"], p["two"], p["left"], p["size"])
+    first = _firsts(p["key"], one[order], two[order], p["left"], p["size"])
     rest = p[~first]
     marks = np.zeros(len(rest), _MARK)
     marks["doc"], marks["start"] = rest["doc"], rest["at"] - rest["left"]
@@ -253,20 +279,12 @@ def _equal_pieces(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _cut_pieces(length: int, k: int, blocks: int, hot):
     """The pieces of repeated anchors, dealt to blocks by their key; equal ones of a task go on once."""
-    content = X.Words()
-
-    def fingerprints(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
-        content._grow(len(data))
-        out = []
-        for values in _RANDOM[1:]:
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values[data] * content.powers[: len(data)])))
-            out.append(X.mix((sums[start + size] - sums[start]) * content.inverses[start]))
-        return out
+    fingerprints = Fingerprints()
 
     def passed(pieces: list, data: list) -> Iterator[pa.RecordBatch]:
         p, text = np.concatenate(pieces), np.concatenate(data)
         starts = np.cumsum(p["size"], dtype=np.int64) - p["size"]
-        keep, marks = _equal_pieces(p)
+        keep, marks = _equal_pieces(p, *fingerprints(text, starts, p["size"]))
         yield _rows(_PIECES, _bucket(p["key"][keep], blocks), p[keep], (starts[keep], text))
         if len(marks):
             yield _rows(_MARKS, _bucket(marks["doc"], blocks), marks)
@@ -297,9 +315,9 @@ def _cut_pieces(length: int, k: int, blocks: int, hot):
             p["left"][:n] = (place - first)[~often]
             p["doc"] = X.longs(batch, "at")[owner]
             p["at"] = begin + p["left"] - bounds[owner]
-            p["one"], p["two"] = fingerprints(data, begin, p["size"])
-            p["key"][:n], p["key"][n:] = h[~often], X.mix(p["one"][n:])
-            keep, marks = _equal_pieces(p)
+            one, two = fingerprints(data, begin, p["size"])
+            p["key"][:n], p["key"][n:] = h[~often], X.mix(one[n:])
+            keep, marks = _equal_pieces(p, one, two)
             if len(marks):
                 yield _rows(_MARKS, _bucket(marks["doc"], blocks), marks)
             p, begin = p[keep], begin[keep]
@@ -384,13 +402,14 @@ def _construct(length: int, parts: int):
                     yield _rows(_MARKS, _bucket(marks["doc"], parts), marks)
                 else:
                     pieces.append(np.frombuffer(records.as_buffer(), _PIECE))
-                    texts.append(np.frombuffer(data.as_buffer(), np.uint8))
+                    n = int(pieces[-1]["size"].sum(dtype=np.int64))
+                    texts.append(np.frombuffer(pa.decompress(data.as_buffer(), n, "zstd"), np.uint8))
         if not pieces:
             return
         p, text = np.concatenate(pieces), np.concatenate(texts)
         del pieces, texts
         starts = np.cumsum(p["size"], dtype=np.int64) - p["size"]
-        keep, marks = _equal_pieces(p)
+        keep, marks = _equal_pieces(p, *Fingerprints()(text, starts, p["size"]))
         found = [marks]
         # Pieces of one key are a collection of their own; many small ones share a round.
         p, starts = p[keep], starts[keep]
@@ -398,7 +417,7 @@ def _construct(length: int, parts: int):
         alone &= np.append(alone[1:], True)  # its only piece: nothing to compare with
         p, starts = p[~alone], starts[~alone]
         while len(p):
-            n = max(1, int(np.searchsorted(np.cumsum(p["size"], dtype=np.int64), HELD_BYTES, "right")))
+            n = max(1, int(np.searchsorted(np.cumsum(p["size"], dtype=np.int64), ROUND_BYTES, "right")))
             while n < len(p) and p["key"][n] == p["key"][n - 1]:
                 n += 1
             now, at = p[:n], starts[:n]
@@ -453,6 +472,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             {
                 "at": X.column(batch, "at"),
+                "carry": X.column(batch, "carry"),
                 "n_bytes": pa.array([len(x) + r for x, r in zip(kept, removed, strict=True)], pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "n_spans": pa.array(count, pa.int64()),
@@ -473,9 +493,9 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 100, k: int = 40
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 100, k: int = 40, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows (doc_id, n_bytes, n_removed, n_spans, kept): each text without the bytes that repeat.
+    """Rows (doc_id, n_bytes, n_removed, n_spans, kept) with columns ``carry``: each text without the bytes that repeat.
 
     A byte is removed if a string of ``length`` bytes that covers it also starts earlier: in a row of smaller id, or
     earlier in the same text. Overlaps count, and strings are judged on the input. ``kept`` holds the remaining bytes.
@@ -487,18 +507,21 @@ def remove_repeats(
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = 4 * parts
-    docs, same = numbered(X.only(docs, id_column, text))
+    carried = F.struct(*(F.col(f"`{c}`") for c in carry) if carry else [F.lit(True).alias("none")])
+    docs, same = numbered(X.only(docs.withColumn("carry", carried), id_column, text, "carry"))
     entries = docs.select("at", "text").mapInArrow(_find_anchors(length, k, blocks), _ROWS)
     found = stored(X.by_bucket(entries, blocks).mapInArrow(_repeated(parts), _ROWS), "anchors")
     frequent = found.where(F.col("kind") == _FREQUENT).select("records").mapInArrow(_frequent, "hash long, n long")
     top = frequent.orderBy(F.desc("n"), "hash").limit(HOT_TABLE).toArrow()
     hot = spark.sparkContext.broadcast(np.sort(top["hash"].to_numpy().view(np.uint64)))
     known = X.by_bucket(found.where(F.col("kind") == _KNOWN).select("bucket", "records"), parts)
-    dealt = docs.select("at", "text").repartition(parts, "at")
+    dealt = docs.where("at is not null").select("at", "text", "carry").repartition(parts, "at")  # both joins use one shuffle
     cells = known.mapInArrow(_by_document, "at long, hashes binary").repartition(parts, "at")
     pieces = dealt.join(cells.hint("shuffle_hash"), "at").mapInArrow(_cut_pieces(length, k, blocks, hot), _ROWS)
     marks = X.by_bucket(pieces, blocks).mapInArrow(_construct(length, parts), _ROWS)
     spans = X.by_bucket(marks.select("bucket", "records"), parts).mapInArrow(_spans, "at long, spans binary")
     joined = dealt.join(spans.repartition(parts, "at").hint("shuffle_hash"), "at", "left")
-    cut = joined.mapInArrow(_remove, "at long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return cut.withColumnRenamed("at", "doc_id") if same else docs.select("doc_id", "at").join(cut, "at").drop("at")
+    shape = docs.schema["carry"].dataType.simpleString()
+    cut = joined.mapInArrow(_remove, f"at long, carry {shape}, n_bytes long, n_removed long, n_spans long, kept binary")
+    cut = cut.withColumnRenamed("at", "doc_id") if same else docs.select("doc_id", "at").join(cut, "at")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *(F.col(f"carry.`{c}`") for c in carry))
