@@ -48,27 +48,58 @@ def literal_to_json(c: Column) -> Column:
     return F.regexp_replace(c, rf",{WS}*\]{WS}*$", "]")
 
 
-def list_of(c: Column, schema: str) -> Column:
-    """JSON list, else Python literal list, else null, read as ``schema``."""
+def list_of(c: Column, schema: str, literal_only: bool = False) -> Column:
+    """JSON list (unless ``literal_only``), else Python literal list, else null, read as ``schema``."""
     text = strip(c)
-    parsed = F.coalesce(
-        F.from_json(text, schema, _STRICT), F.from_json(literal_to_json(text), schema, _LENIENT)
-    )
+    parsed = F.from_json(literal_to_json(text), schema, _LENIENT)
+    if not literal_only:
+        parsed = F.coalesce(F.from_json(text, schema, _STRICT), parsed)
     return F.when(text.startswith("[") & text.endswith("]"), parsed)
 
 
-def _item_text(v: Column) -> Column:
-    """A list item as text the way ``str`` renders it. Nested items are rendered as JSON."""
-    text = v.cast("string")
+def float_text(c: Column) -> Column:
+    """Spark's text of a double (``1.0E20``) the way ``str`` renders it (``1e+20``).
+
+    Spark writes an exponent outside of 0.001 to 10^7, ``str`` outside of 0.0001 to 10^16.
+    """
+    form = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+    sign, lead, rest = (F.regexp_extract(c, form, i) for i in (1, 2, 3))
+    power = F.regexp_extract(c, form, 4).try_cast("int")
+    rest = F.when(rest == "0", "").otherwise(rest)
+    digits, whole = F.concat(lead, rest), power + 1
+    padded = F.concat(F.rpad(digits, whole, "0"), F.lit(".0"))
+    split = F.concat(F.substr(digits, F.lit(1), whole), F.lit("."), F.substr(digits, whole + 1))
+    plain = F.when(F.length(digits) <= whole, padded).otherwise(split)
+    exponent = F.concat(F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    exponent = F.when(F.abs(power) > 99, F.concat(F.when(power < 0, "-").otherwise("+"), F.abs(power).cast("string"))).otherwise(exponent)
+    scientific = F.concat(lead, F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.lit("e"), exponent)
+    return (
+        F.when(~c.rlike(form), c)
+        .when(power.between(7, 15), F.concat(sign, plain))
+        .when(power == -4, F.concat(sign, F.lit("0.000"), digits))
+        .otherwise(F.concat(sign, scientific))
+    )
+
+
+def _item_text(v: Column, token: Column) -> Column:
+    """A list item as text the way ``str`` renders it. Nested items are rendered as JSON.
+
+    ``token`` is the same item read as text: it still shows whether a number was written as a float.
+    """
+    text, kind = v.cast("string"), F.schema_of_variant(v)
+    is_float = (kind == "DOUBLE") | (kind.startswith("DECIMAL") & token.contains("."))
     return (
         F.when(v.isNull() | F.is_variant_null(v), F.lit("None"))
-        .when(F.schema_of_variant(v) == "BOOLEAN", F.initcap(text))
+        .when(kind == "BOOLEAN", F.initcap(text))
+        .when(is_float, float_text(token))
+        .when(kind.startswith("DECIMAL"), token)
         .otherwise(text)
     )
 
 
-def _list_or_null(c: Column) -> Column:
-    return F.transform(list_of(c, "array<variant>"), _item_text)
+def _list_or_null(c: Column, literal_only: bool = False) -> Column:
+    items, tokens = (list_of(c, f"array<{t}>", literal_only) for t in ("variant", "string"))
+    return F.zip_with(items, tokens, _item_text)
 
 
 def empty_list() -> Column:
@@ -97,16 +128,18 @@ def normalize_dicts(c: Column) -> Column:
 
 
 def normalize_terms(c: Column, null_as_empty: bool = False) -> Column:
-    """Search terms: a list, or one trimmed term. Null reads as the word None unless told not to."""
+    """Search terms: a literal list, or one trimmed term. Null reads as the word None unless told not to."""
     on_null = empty_list() if null_as_empty else F.array(F.lit("None"))
-    return F.when(c.isNull(), on_null).otherwise(parse_list(c, F.array(strip(c))))
+    return F.when(c.isNull(), on_null).otherwise(
+        F.coalesce(_list_or_null(c, literal_only=True), F.array(strip(c)))
+    )
 
 
 def safe_eval(c: Column) -> Column:
-    """Lists only from text that opens a bracket; a broken list is an error."""
+    """Literal lists only from text that opens a bracket; a broken list, or JSON's own names, are an error."""
     broken = F.raise_error(F.concat(F.lit("not a list: "), c)).cast("array<string>")
     return F.when(
-        strip(c).startswith("["), F.coalesce(_list_or_null(c), broken)
+        strip(c).startswith("["), F.coalesce(_list_or_null(c, literal_only=True), broken)
     ).otherwise(empty_list())
 
 

@@ -5,41 +5,45 @@ from newsloom.operators import profile
 from newsloom.operators import validate as V
 
 
-@pytest.mark.parametrize(
-    "payload,reason",
-    [
-        ('{"status": "success", "results": [{"text": "ok"}]}', None),
-        ("not a dict", "string"),
-        ('"quoted"', "string"),
-        ("123", "not_an_object"),
-        ("[1]", "not_an_object"),
-        ('{"status": "fail", "results": []}', "bad_status"),
-        ('{"results": [1]}', "bad_status"),
-        ('{"status": "success"}', "missing_key"),
-        ('{"status": "success", "results": []}', "empty_key"),
-        ('{"status": "success", "results": null}', "empty_key"),
-        ('{"status": "success", "results": ""}', "empty_key"),
-        ('{"status": "success", "results": {}}', "empty_key"),
-        ('{"status": "success", "results": 0}', "empty_key"),
-    ],
-)
-def test_reject_reason(spark, payload, reason):
+BODY = '{"status": "success", "articles": %s}'
+REASONS = {
+    BODY % '[{"headline": "x"}]': None,
+    BODY % '"text counts"': None,
+    BODY % "7": None,
+    BODY % "[]": "empty_key",
+    BODY % "null": "empty_key",
+    BODY % '""': "empty_key",
+    BODY % "{}": "empty_key",
+    BODY % "false": "empty_key",
+    '{"status": "success", "other": [1]}': "missing_key",
+    '{"status": "error", "articles": [1]}': "bad_status",
+    '{"articles": [1]}': "bad_status",
+    "-4.5": "not_an_object",
+    '["success"]': "not_an_object",
+    "<html>busy</html>": "string",
+    '"busy"': "string",
+}
+
+
+@pytest.mark.parametrize("payload", REASONS)
+def test_why_an_answer_is_rejected(spark, payload):
     df = spark.createDataFrame([(payload,)], "payload string")
-    assert df.select(V.reject_reason(F.col("payload"))).first()[0] == reason
+    assert df.select(V.reject_reason(F.col("payload"), "articles")).first()[0] == REASONS[payload]
 
 
-def test_status_is_optional(spark):
-    df = spark.createDataFrame([('{"feed": [1]}',)], "payload string")
-    assert df.select(V.reject_reason(F.col("payload"), "feed", check_status=False)).first()[0] is None
+def test_answers_without_a_status(spark):
+    df = spark.createDataFrame([('{"articles": ["x"]}',), ('{"articles": []}',)], "payload string")
+    got = df.select(V.reject_reason(F.col("payload"), "articles", check_status=False)).collect()
+    assert [r[0] for r in got] == [None, "empty_key"]
 
 
-def test_required_columns(spark):
-    df = spark.createDataFrame([(1, "a", 0.5)], "id int, text string, score double")
-    assert V.require_columns(df, ["id", "text"]) is df
+def test_columns_and_rows_must_be_there(spark):
+    df = spark.createDataFrame([("btc", 3), ("eth", 4)], "coin string, rank int")
+    assert V.require_columns(df, ["rank"]) is df and V.require_rows(df, "coins") is df
     with pytest.raises(KeyError, match="Missing columns"):
-        V.require_columns(df, ["id", "label"])
+        V.require_columns(df, ["coin", "price"])
     with pytest.raises(ValueError):
-        V.require_rows(df.where("id > 1"), "nothing")
+        V.require_rows(df.where("rank > 9"), "coins")
 
 
 def test_kind_profiles(spark):
