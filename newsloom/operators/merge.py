@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from newsloom.dictionaries import SOURCE_RANK, UNRANKED
 from newsloom.functions.lookup import lookup
-from newsloom.functions.parse import with_terms
+from newsloom.functions.parse import with_lists, with_terms
 from newsloom.operators.validate import require_columns
 
 SEQ = "_seq"
@@ -64,19 +64,16 @@ def term_union(
 ) -> DataFrame:
     """The first row per key as a whole, with the sorted distinct terms of all its rows.
 
-    Rows without a key are dropped. Terms are exploded next to their row, so that the set of terms
-    is already distinct before the shuffle and no task ever holds all term lists of a key.
+    Rows without a key are dropped. Of term lists, the distinct ones of a key are shuffled, and of rows one per map
+    task and key.
     """
     require_columns(df, [key, terms, seq])
     rows = with_terms(df.where(F.col(key).isNotNull()), terms, null_as_empty)
     rest = [c for c in df.columns if c not in (key, terms)]
-    merged = (
-        rows.select(key, F.struct(*rest).alias("row"), F.explode_outer(terms).alias("term"))
-        .groupBy(key)
-        .agg(
-            F.min_by("row", F.col(f"row.{seq}")).alias("row"),
-            F.array_sort(F.collect_set("term")).alias(terms),
-        )
+    lists = F.collect_set(F.coalesce(terms, F.array().cast("array<string>")))
+    merged = rows.groupBy(key).agg(
+        F.min_by(F.struct(*rest), F.col(seq)).alias("row"),
+        F.array_sort(F.filter(F.array_distinct(F.flatten(lists)), lambda t: t.isNotNull())).alias(terms),
     )
     columns = [F.col(c) if c in (key, terms) else F.col(f"row.{c}").alias(c) for c in df.columns]
     return merged.select(*columns)
@@ -117,8 +114,8 @@ def best_row_merge(
     """One row per key: each column's first value that is not null, best ranked source first.
 
     ``description`` joins all descriptions in input order, empty if there are none, and
-    ``was_merged`` tells whether there was more than one. Rows without a key are dropped. One scan
-    and no join: runs of consecutive rows are merged first, as in ``joined_text``, then the runs.
+    ``was_merged`` tells whether there was more than one. Rows without a key are dropped. One scan, one shuffle and no
+    join: everything but the descriptions is reduced before the shuffle, and those of a key end in one cell anyway.
     """
     require_columns(df, ["data_source", "description", key, "datetime", seq])
     plain = [c for c in df.columns if c not in (key, "description", seq)]
@@ -126,29 +123,17 @@ def best_row_merge(
         "_order", F.struct(source_rank(F.col("data_source"), ranks), F.col(seq))
     )
 
-    def first_of_run(c: str) -> Column:
-        present = F.when(F.col(c).isNotNull(), F.col("_order"))
-        return F.min_by(F.struct(F.col(c).alias("value"), F.col("_order").alias("at")), present)
+    def first_of(c: str) -> Column:
+        return F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_order")))
 
     described = F.when(
         F.col("description").isNotNull(), F.struct(seq, F.col("description").alias("text"))
     )
-    part = F.when(F.col("_n") > 0, F.struct("_run", F.col("_part").alias("text")))
-    merged = (
-        rows.groupBy(key, _run(seq).alias("_run"))
-        .agg(
-            *[first_of_run(c).alias(c) for c in plain],
-            F.min(seq).alias(seq),
-            F.count("description").alias("_n"),
-            _in_order(F.collect_list(described)).alias("_part"),
-        )
-        .groupBy(key)
-        .agg(
-            *[F.min_by(F.col(c)["value"], F.col(c)["at"]).alias(c) for c in plain],
-            F.min(seq).alias(seq),
-            (F.sum("_n") > 1).alias("was_merged"),
-            _in_order(F.collect_list(part)).alias("description"),
-        )
+    merged = rows.groupBy(key).agg(
+        *[first_of(c).alias(c) for c in plain],
+        F.min(seq).alias(seq),
+        (F.count("description") > 1).alias("was_merged"),
+        _in_order(F.collect_list(described)).alias("description"),
     )
     return merged.select(*df.columns, "was_merged")
 
@@ -162,49 +147,44 @@ def upsert(
 ) -> DataFrame:
     """Batch rows over main rows: the batch row wins, terms are united. No main means an empty one.
 
-    With ``main_is_unique`` (main holds each key once, as every earlier result does) only the rows
-    of main that the batch touches are merged; the others pass through without a shuffle.
+    Main is read and shuffled once. With ``main_is_unique`` (main holds each key once, as every earlier result does) it
+    meets the batch in one join and is not aggregated.
     """
     if main is None:
         return term_union(batch, key, terms)
     columns = [c for c in batch.columns if c != SEQ]
     if set(columns) != set(c for c in main.columns if c != SEQ):
         raise KeyError("Column mismatch between batch and main")
+    has_seq = SEQ in batch.columns
+    kind = batch.schema[SEQ].dataType if has_seq else "long"
 
     def ranked(df: DataFrame, side: int) -> DataFrame:
-        seq = F.col(SEQ) if SEQ in df.columns else F.lit(0).cast("long")
-        order = F.struct(F.lit(side).alias("side"), seq.cast("long").alias("seq"))
+        same = SEQ in df.columns and df.schema[SEQ].dataType == kind
+        order = F.struct(F.lit(side).alias("side"), (F.col(SEQ) if same else F.lit(None).cast(kind)).alias("seq"))
         return with_terms(df, terms).select(*columns, order.alias(SEQ))
 
     if not main_is_unique:
         both = ranked(batch, 0).unionByName(ranked(main, 1))
         return term_union(both, key, terms).drop(SEQ)
 
-    keys = batch.select(key).distinct()
-    touched = ranked(main.join(keys, key, "left_semi"), 1)
-    untouched = with_terms(main.join(keys, key, "left_anti"), terms).where(F.col(key).isNotNull())
-    merged = term_union(ranked(batch, 0).unionByName(touched), key, terms).drop(SEQ)
-    return merged.unionByName(untouched.select(columns))
-
+    new = term_union(ranked(batch, 0), key, terms).drop(SEQ).select(F.col(key).alias("_key"), F.struct(*columns).alias("new"))
+    old = with_terms(main, terms).where(F.col(key).isNotNull()).select(key, F.struct(*columns).alias("old"))
+    both = old.join(new, F.col(key) == F.col("_key"), "full_outer")
+    fresh = F.col("new").isNotNull()
+    none = F.array().cast("array<string>")
+    united = F.array_sort(F.array_distinct(F.concat(F.coalesce(f"new.{terms}", none), F.coalesce(f"old.{terms}", none))))
+    return both.select(
+        *[
+            (F.when(fresh & F.col("old").isNotNull(), united).when(fresh, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}"))
+             if c == terms else F.when(fresh, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}"))).alias(c)
+            for c in columns
+        ]
+    )
 
-def append_distinct(
-    new: DataFrame, main: DataFrame | None, main_is_distinct: bool = False
-) -> DataFrame:
-    """All different rows of both tables.
 
-    With ``main_is_distinct`` (as every earlier result is) main is not shuffled: only its rows that
-    share a checksum with a new row are compared, and the new rows that remain are added to it.
-    """
-    if main is None:
-        return new.distinct()
-    if not main_is_distinct:
-        return new.unionByName(main).distinct()
-    main = main.select(new.columns)
-    checksum = F.xxhash64(*new.columns).alias("_sum")
-    alike = main.withColumn("_sum", checksum).join(
-        new.select(checksum).distinct(), "_sum", "left_semi"
-    )
-    return main.unionByName(new.subtract(alike.drop("_sum")))
+def append_distinct(new: DataFrame, main: DataFrame | None) -> DataFrame:
+    """All different rows of both tables, each read and shuffled once."""
+    return new.distinct() if main is None else new.unionByName(main.select(new.columns)).distinct()
 
 
 def sorted_layer(df: DataFrame, *order: str) -> DataFrame:
@@ -214,6 +194,7 @@ def sorted_layer(df: DataFrame, *order: str) -> DataFrame:
 
 def last_seen(df: DataFrame, ticker: str | None = None) -> DataFrame:
     """Latest ``datetime`` of one ticker (null if never seen), or of every ticker."""
+    df = with_lists(df, "ticker_names")  # exports hold lists as text
     if ticker is not None:
         seen = df.where(F.array_contains("ticker_names", ticker.upper()))
         return seen.agg(F.max("datetime").alias("last_seen"))

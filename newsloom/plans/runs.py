@@ -1,7 +1,8 @@
 """Whole runs: transform a source, run a source, merge sources.
 
 The functions up to ``merge_clean`` only build plans. ``run_source`` and ``run_merge`` write the
-layers, and every step reads back the layer before it, so no step is computed twice.
+layers. A layer is computed once, into a scratch table, before it is sorted, and every step reads back the layer
+before it.
 """
 
 from __future__ import annotations
@@ -121,11 +122,18 @@ def merge_clean(
 
 
 def ordered_union(tables: Sequence[DataFrame], columns: Sequence[str] = COMMON_COLUMNS) -> DataFrame:
-    """Union of the sources' common columns with one ordinal over all of them, table by table."""
-    offset = 1 << 52
+    """Union of the sources' common columns with one ordinal over all of them, table by table.
+
+    It is the table's place, then the ordinal within the table. Tables without one, as main tables are, have no order
+    of their own.
+    """
+    kind = next((t.schema[SEQ].dataType for t in tables if SEQ in t.columns), "long")
+
+    def own(table: DataFrame):
+        return F.col(SEQ).cast(kind) if SEQ in table.columns else F.lit(None).cast(kind)
+
     numbered = [
-        t.withColumn(SEQ, (F.col(SEQ) if SEQ in t.columns else F.lit(0)) + F.lit(i * offset))
-        for i, t in enumerate(tables)
+        t.withColumn(SEQ, F.struct(F.lit(i).alias("table"), own(t).alias("seq"))) for i, t in enumerate(tables)
     ]
     return union_sources(numbered, [*columns, SEQ])
 
@@ -144,16 +152,16 @@ def run_source(
     def update_main(batch: DataFrame, layer: str, key: str) -> str:
         path = f"{root}/{layer}/{source}/main"
         main = read_snapshot(spark, path)
-        return write_snapshot(upsert(batch, main, key, main_is_unique=True).drop(SEQ), path)
+        return write_snapshot(upsert(batch, main, key, main_is_unique=True).drop(SEQ), path, ("datetime", key))
 
     stamp = f"batch-{uuid.uuid4().hex}"
-    out = {"clean": write_layer(term_union(raw, name_of), f"{root}/clean/{source}/{stamp}")}
+    out = {"clean": write_layer(term_union(raw, name_of), f"{root}/clean/{source}/{stamp}", ("datetime", name_of))}
     clean = spark.read.parquet(out["clean"])
     out["clean_main"] = update_main(clean, "clean", name_of)
     processed = (
         transform_a(clean, lexicon) if source == SOURCE_A else transform_b(clean, lexicon, keywords)
     )
-    out["processed"] = write_layer(processed, f"{root}/processed/{source}/{stamp}")
+    out["processed"] = write_layer(processed, f"{root}/processed/{source}/{stamp}", ("datetime", "url"))
     processed = spark.read.parquet(out["processed"])
     out["processed_main"] = update_main(processed, "processed", "url")
     for freq in ("D", "h") if resample else ():
@@ -170,6 +178,6 @@ def run_merge(tables: Sequence[DataFrame], root: str, lexicon: Lexicon, **option
     stamp = f"batch-{uuid.uuid4().hex}"
     out = {"merged": write_layer(cleaned, f"{root}/merged/{stamp}", ("datetime", "url"))}
     main = f"{root}/merged/main"
-    new = append_distinct(spark.read.parquet(out["merged"]), read_snapshot(spark, main), True)
+    new = append_distinct(spark.read.parquet(out["merged"]), read_snapshot(spark, main))
     out["merged_main"] = write_snapshot(new, main, ("datetime", "url"))
     return out

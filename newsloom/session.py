@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -30,14 +29,11 @@ def local_session(cores: int | str = "*", app: str = "newsloom", **conf: str) ->
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path for intermediate tables, in the folder all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session without that
-    setting falls back to a temporary folder of this machine.
+    The folder is the session's ``spark.checkpoint.dir``, or one in its warehouse, which executors
+    share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="newsloom-")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/newsloom/{label}-{uuid.uuid4().hex}"
 
 

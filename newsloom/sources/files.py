@@ -13,6 +13,7 @@ from newsloom.functions.parse import parse_ts
 from newsloom.operators.merge import sorted_layer
 from newsloom.operators.profile import schema_profile, version_span
 from newsloom.operators.validate import require_columns, require_rows
+from newsloom.session import stored
 
 _CSV = {
     "header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8",
@@ -58,14 +59,15 @@ def write_csv(
     """Write a folder of CSV parts and return its path. Lists are written as JSON.
 
     ``versioned`` adds the earliest and latest ``datetime`` to the name; ``schema_format`` also
-    writes the schema profile next to it.
+    writes the schema profile next to it. ``df`` is computed once, into a scratch table.
     """
-    require_rows(require_columns(df, expected_columns or []), path)
+    df = stored(require_columns(df, expected_columns or []), "csv")
+    require_rows(df, path)
     if versioned:
         span = version_span(df).first()
         path = f"{path}_{span['first']}_{span['last']}"
     writer = df.select(*_csv_text(df)).write.mode("errorifexists").options(**_CSV)
-    writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(
+    writer.option("maxRecordsPerFile", 0).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(
         path, compression="gzip" if compress else "none"
     )
     if schema_format:
@@ -166,7 +168,11 @@ def folder_summary(spark: SparkSession, folder: str, exclude: str | None = None)
 
 
 def write_layer(df: DataFrame, path: str, order: Sequence[str] = ("datetime",)) -> str:
-    """A Parquet layer, sorted so that scans can skip by time."""
+    """A Parquet layer, sorted so that scans can skip by time. ``df`` is computed once, into a scratch table.
+
+    Give ``order`` a key after the time: rows of one time, or of none, are then spread like others.
+    """
+    df = stored(df, "layer")
     sorted_layer(require_rows(df, path), *order).write.mode("errorifexists").parquet(path)
     return path
 
@@ -197,5 +203,5 @@ def write_snapshot(df: DataFrame, path: str, order: Sequence[str] = ("datetime",
     found = snapshots(df.sparkSession, path)
     number = int(found[-1].rsplit("=", 1)[1]) + 1 if found else 1
     target = f"{path}/snapshot={number:08d}"
-    sorted_layer(df, *order).write.mode("overwrite").parquet(target)
+    sorted_layer(stored(df, "snapshot"), *order).write.mode("overwrite").parquet(target)
     return target

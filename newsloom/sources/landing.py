@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.functions.lookup import lookup
 from newsloom.functions.parse import parse_ts
 from newsloom.operators.merge import SEQ, keep_first
 from newsloom.operators.validate import reject_reason
@@ -32,9 +33,6 @@ PAGE_ITEM = (
 # Requested terms that may be broadcast.
 MAX_BROADCAST_TERMS = 100_000
 
-# The ordinal of an item: the page above, the position on the page below.
-_POSITION_BITS = 20
-
 
 def _file_envelopes(text: DataFrame) -> DataFrame:
     """Whole files as envelopes; term and page come from where the file lies and what it is called."""
@@ -72,19 +70,21 @@ def read_landing_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("term string, page bigint, payload string").json(path)
 
 
-def _ordinal(page: Column, pos: Column) -> Column:
-    limit = 1 << _POSITION_BITS
-    checked = F.when(pos < limit, pos).otherwise(
-        F.raise_error(F.lit(f"more than {limit} items in an envelope")).cast("int")
-    )
-    return F.shiftleft(page.cast("long"), _POSITION_BITS) + checked
+def _ordinal(requested: Sequence[str] | None) -> Column:
+    """The place of an item: its term's place in the request, the term, the page, the place on the page.
+
+    Items of terms that were not requested come last. It is a struct, so nothing in it has a limit.
+    """
+    terms = list(dict.fromkeys(requested or []))
+    rank = F.coalesce(lookup({t: i for i, t in enumerate(terms)}, "int")(F.col("term")), F.lit(len(terms)))
+    return F.struct(rank.alias("rank"), "term", F.col("page").cast("long").alias("page"), "pos")
 
 
-def _items(envelopes: DataFrame, field: str, item: str) -> DataFrame:
-    """The items of all envelopes in page order."""
+def _items(envelopes: DataFrame, field: str, item: str, requested: Sequence[str] | None) -> DataFrame:
+    """The items of all envelopes, with their places."""
     parsed = F.from_json("payload", f"struct<{field}:array<struct<{item}>>>")[field]
     return envelopes.select("term", "page", F.posexplode(parsed).alias("pos", "item")).select(
-        "term", _ordinal(F.col("page"), F.col("pos")).alias(SEQ), "item.*"
+        "term", _ordinal(requested).alias(SEQ), "item.*"
     )
 
 
@@ -98,14 +98,14 @@ def _finish(items: DataFrame, once_per: str, published: str) -> DataFrame:
     )
 
 
-def ingest_feed(envelopes: DataFrame) -> DataFrame:
-    """Source A: items of ``feed``, the first one per URL and symbol."""
-    return _finish(_items(envelopes, "feed", FEED_ITEM), "url", "time_published")
+def ingest_feed(envelopes: DataFrame, requested: Sequence[str] | None = None) -> DataFrame:
+    """Source A: items of ``feed``, the first one per URL and symbol, in the order of ``requested``."""
+    return _finish(_items(envelopes, "feed", FEED_ITEM, requested), "url", "time_published")
 
 
-def ingest_pages(envelopes: DataFrame) -> DataFrame:
-    """Source B: items of all ``results`` pages, the first one per title and term."""
-    return _finish(_items(envelopes, "results", PAGE_ITEM), "title", "pubDate")
+def ingest_pages(envelopes: DataFrame, requested: Sequence[str] | None = None) -> DataFrame:
+    """Source B: items of all ``results`` pages, the first one per title and term, in the order of ``requested``."""
+    return _finish(_items(envelopes, "results", PAGE_ITEM, requested), "title", "pubDate")
 
 
 def judged(envelopes: DataFrame, key: str, check_status: bool) -> DataFrame:

@@ -67,8 +67,7 @@ def test_best_row_takes_each_column_from_the_best_source_that_has_it(spark):
     ]
 
 
-def test_best_row_merge_of_a_frequent_key_joins_runs_in_order(spark, monkeypatch):
-    monkeypatch.setattr(M, "RUN_LENGTH", 16)
+def test_best_row_merge_of_a_frequent_key_joins_in_order(spark):
     n = 500
     rows = [("hot" if i % 3 else f"u{i}", "newsdata", f"t{i}", f"d{i}", T0, i) for i in range(n)]
     random.Random(1).shuffle(rows)
@@ -105,15 +104,53 @@ def test_upsert_repairs_a_main_with_repeated_keys(spark):
     ]
 
 
-def test_append_distinct_both_ways(spark):
+def test_append_distinct(spark):
     new = spark.createDataFrame([(1, None), (1, None), (2, "b")], "a int, b string")
     main = spark.createDataFrame([("b", 2), ("c", 3)], "b string, a int")
-    for distinct in (False, True):
-        got = M.append_distinct(new, main, main_is_distinct=distinct)
-        assert rows_of(got, "a", "b") == [(1, None), (2, "b"), (3, "c")]
+    assert rows_of(M.append_distinct(new, main), "a", "b") == [(1, None), (2, "b"), (3, "c")]
     assert M.append_distinct(new, None).count() == 2
 
 
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange hashpartitioning" in line for line in plan.split("\n")), plan.count("FileScan")
+
+
+def test_main_is_read_and_shuffled_once(spark, tmp_path):
+    schema = "url string, title string, search_terms array<string>"
+    spark.createDataFrame([("u", "old", ["a"])], schema).write.parquet(str(tmp_path / "main"))
+    spark.createDataFrame([("u", "new", ["b"])], schema).write.parquet(str(tmp_path / "batch"))
+    main, batch = (spark.read.parquet(str(tmp_path / n)) for n in ("main", "batch"))
+    batch = batch.withColumn("_seq", F.lit(1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert exchanges(M.upsert(batch, main, main_is_unique=True)) == (2, 2)
+        assert exchanges(M.append_distinct(main, main.limit(5).union(main)))[0] <= 2
+        one = news(spark, [("u", "newsdata", "t", "d", T0, 1)])
+        assert exchanges(M.best_row_merge(one))[0] == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ordinals_of_terms_pages_and_tables_never_tie(spark):
+    from newsloom.plans.runs import ordered_union
+    from newsloom.sources.landing import ingest_feed
+
+    item = '{"title":"%s","url":"same","time_published":"20240101T000000","summary":"s"}'
+    rows = [("ETH", 0, '{"feed":[%s]}' % (item % "eth")), ("BTC", 20240419153015, '{"feed":[%s]}' % (item % "late")), ("BTC", 3, '{"feed":[%s]}' % (item % "btc"))]
+    envelopes = spark.createDataFrame(rows, "term string, page bigint, payload string")
+    for order, want in ((["BTC", "ETH"], "btc"), (["ETH", "BTC"], "eth")):
+        got = M.term_union(ingest_feed(envelopes, order), "url").collect()
+        assert [(r.title, r.search_terms) for r in got] == [(want, ["BTC", "ETH"])]
+    tables = [spark.createDataFrame([("b", 5)], "url string, _seq bigint"), spark.createDataFrame([("a",)], "url string")]
+    assert [r.url for r in ordered_union(tables, ["url"]).orderBy("_seq").collect()] == ["b", "a"]
+
+
+def test_last_seen_reads_lists_held_as_text(spark):
+    df = spark.createDataFrame([("['BTC', 'ETH']", T0), ("[]", T0)], "ticker_names string, datetime timestamp_ntz")
+    assert rows_of(M.last_seen(df), "ticker", "last_seen") == [("BTC", T0), ("ETH", T0)]
+
+
 def test_source_rank(spark):
     df = spark.createDataFrame([("alpha_vantage",), ("newsdata",), ("x",), (None,)], "s string")
     assert [r[0] for r in df.select(M.source_rank(F.col("s"))).collect()] == [1, 2, 999, 999]
