@@ -36,13 +36,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One article per document; about three articles share a URL. ``_seq`` is the document id.
-
-    Documents are partitioned as the join needs them, so that even a file of one row group, which
-    only one task can read, is worked on by all cores afterwards.
-    """
+    """One article per document; about three articles share a URL. ``_seq`` is the document id."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    docs = docs.repartition("doc_id")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id")
     title = "split_part(text, chr(10), 1)"
     tickers = (
@@ -83,6 +78,16 @@ def messy_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def number_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of floats, whole numbers and names, as JSON (odd ids) and as Python writes them."""
+    return table(spark, sf_dir, "documents").selectExpr(
+        "doc_id",
+        """'[' || CAST(doc_id AS STRING) || '.125, 1e' || CAST(doc_id % 21 AS STRING) || ', -2.5e-'
+           || CAST(doc_id % 9 AS STRING) || ', 7' || CAST(doc_id AS STRING) || '0000000000000000000, '
+           || CASE WHEN doc_id % 2 = 1 THEN 'true, null]' ELSE 'True, None]' END AS raw""",
+    )
+
+
 def messy_dicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of object lists: JSON, literal, mixed, no list, null."""
     return table(spark, sf_dir, "documents").selectExpr(

@@ -345,6 +345,15 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY lang, title ORDER BY doc_id) = 1""",
         PAGES,
     ),
+    "ingest_then_union": on_articles(
+        """SELECT url, title, search_terms FROM (
+          SELECT *, string_agg(lang, '|') OVER (PARTITION BY url) AS every,
+            row_number() OVER (PARTITION BY url ORDER BY list_position(['fr', 'en', 'es', 'de'], lang), page, doc_id) AS place
+          FROM (SELECT 'https://x.example/' || CAST(doc_id % 97 AS VARCHAR) AS url, title, lang, doc_id, floor(doc_id / 10) AS page FROM articles))
+        JOIN (SELECT 'https://x.example/' || CAST(doc_id % 97 AS VARCHAR) AS url,
+            string_agg(DISTINCT lang, '|' ORDER BY lang) AS search_terms FROM articles GROUP BY 1) USING (url)
+        WHERE place = 1"""
+    ),
     "missed_terms": on_articles(
         """SELECT term FROM (VALUES ('de'), ('en'), ('es'), ('fr'), ('xx')) AS asked(term)
         WHERE term NOT IN (SELECT term FROM pages_landed)
@@ -411,6 +420,11 @@ ORACLES: dict[str, str] = {
         "CASE WHEN kind = 3 THEN 0 ELSE 1 END",
     ),
     "normalize_terms": messy(PLAIN.format(null="'None'", number="CAST(doc_id AS VARCHAR)"), "1"),
+    "parse_numbers": """SELECT doc_id, concat_ws('|', CAST(doc_id + 0.125::DOUBLE AS VARCHAR),
+        CAST(('1e' || CAST(doc_id % 21 AS VARCHAR))::DOUBLE AS VARCHAR),
+        CAST(('-2.5e-' || CAST(doc_id % 9 AS VARCHAR))::DOUBLE AS VARCHAR),
+        '7' || CAST(doc_id AS VARCHAR) || '0000000000000000000', 'True', 'None') AS items,
+        CASE WHEN doc_id % 2 = 1 THEN 1 ELSE 6 END::BIGINT AS n_terms FROM documents""",
     "safe_eval": f"WITH {MESSY} SELECT doc_id, {MESSY_ITEMS.format(other=chr(39) * 2)} AS items FROM messy",
     "normalize_dicts": """SELECT doc_id, CAST(CASE doc_id % 5 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS BIGINT) AS n,
         CASE WHEN doc_id % 5 < 2 THEN source ELSE '' END AS tickers,
@@ -574,3 +588,7 @@ ORACLES: dict[str, str] = {
         *merge_ctes("m", "processed"), *merge_ctes("o", "older"),
     )),
 }
+
+# The same rows by another way.
+ORACLES["upsert_main_any"] = ORACLES["upsert_main"]
+ORACLES["semantic_clean_large"] = ORACLES["semantic_clean"]

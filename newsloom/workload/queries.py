@@ -73,6 +73,14 @@ def ingest_multi_term(spark, sf_dir):
     )
 
 
+@query
+def ingest_then_union(spark, sf_dir):
+    """Of a URL that came with several terms and places, the row of the first requested term wins."""
+    news = fx.articles(spark, sf_dir).withColumn("url", F.concat(F.lit("https://x.example/"), (F.col("doc_id") % 97).cast("string")))
+    items = landing.ingest_feed(fx.feed_envelopes(news), ["fr", "en", "es", "de"])
+    return M.term_union(items, "url").select("url", "title", joined("search_terms").alias("search_terms"))
+
+
 @query
 def missed_terms(spark, sf_dir):
     envelopes = fx.partly_broken_envelopes(fx.articles(spark, sf_dir))
@@ -96,8 +104,9 @@ def _two_formats(spark, sf_dir) -> str:
     news = fx.articles(spark, sf_dir)
     alpha = news.where("data_source = 'alpha'").select("doc_id", "title", "lang")
     beta = news.where("data_source = 'beta'").select("doc_id", "title", "source")
-    files.write_csv(alpha.repartition(4, "doc_id"), f"{path}/alpha", compress=True)
-    files.write_csv(beta.repartition(3, "doc_id"), f"{path}/beta")
+    # Dealt out in turn, which no setting and no earlier partitioning takes away.
+    files.write_csv(alpha.repartition(4), f"{path}/alpha", compress=True)
+    files.write_csv(beta.repartition(3), f"{path}/beta")
     return path
 
 
@@ -153,11 +162,21 @@ def upsert_main(spark, sf_dir):
     return with_text_lists(M.upsert(batch, main, "url", main_is_unique=True))
 
 
+@query
+def upsert_main_any(spark, sf_dir):
+    """The same over a main table that may repeat keys."""
+    news = fx.articles(spark, sf_dir).select(
+        "url", "title", "description", "datetime", "search_terms", "data_source", M.SEQ
+    )
+    alpha = news.where("data_source = 'alpha'")
+    return with_text_lists(M.upsert(news.where("data_source = 'beta'"), alpha.unionByName(alpha), "url"))
+
+
 @query
 def append_distinct(spark, sf_dir):
     news = fx.articles(spark, sf_dir).select("url", "source", "lang", "data_source")
     new = news.where("data_source = 'beta'").drop("data_source")
-    return M.append_distinct(new, news.drop("data_source").distinct(), main_is_distinct=True)
+    return M.append_distinct(new, news.drop("data_source").distinct())
 
 
 @query
@@ -227,6 +246,15 @@ def normalize_terms(spark, sf_dir):
     return _lists(spark, sf_dir, P.normalize_terms)
 
 
+@query
+def parse_numbers(spark, sf_dir):
+    """Numbers in lists read like ``str`` writes them; search terms know literals only."""
+    raw = F.col("raw")
+    return fx.number_lists(spark, sf_dir).select(
+        "doc_id", joined(P.parse_list(raw)).alias("items"), F.size(P.normalize_terms(raw)).cast("long").alias("n_terms")
+    )
+
+
 @query
 def safe_eval(spark, sf_dir):
     whole = F.when(F.col("raw").startswith("[broken"), F.col("raw").substr(F.lit(2), F.lit(10))).otherwise(F.col("raw"))
@@ -384,17 +412,27 @@ def semantic_dedup(spark, sf_dir):
     return kept.select("label", "vec_id")
 
 
-@query
-def semantic_clean(spark, sf_dir):
+def _semantic_clean(spark, sf_dir, **sizes):
     merged = M.best_row_merge(
         fx.articles(spark, sf_dir).select("url", "data_source", "description", "datetime", M.SEQ),
         ranks=fx.RANKS,
     )
-    return semantic.semantic_clean(merged.drop(M.SEQ)).select(
+    return semantic.semantic_clean(stored(merged.drop(M.SEQ), "merged"), **sizes).select(
         "url", "description", "was_merged", "removed_sent_count"
     )
 
 
+@query
+def semantic_clean(spark, sf_dir):
+    return _semantic_clean(spark, sf_dir)
+
+
+@query
+def semantic_clean_large(spark, sf_dir):
+    """The same by rounds, as for documents that no task can hold."""
+    return _semantic_clean(spark, sf_dir, whole=64, block=64)
+
+
 # Unions, joins and merges
 
 
