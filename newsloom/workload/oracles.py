@@ -576,6 +576,26 @@ ORACLES: dict[str, str] = {
            score FROM firsts JOIN scores USING (doc_id))""",
         means("day", "scored"),
     ),
+    "source_run_a": on_articles(
+        f"""SELECT url, title, date_trunc('second', datetime) AS datetime, langs AS search_terms, upper(lang) AS ticker_names,
+          {label('score')} AS sentiment_label_nltk, round(score, 6) AS sentiment_score_nltk
+        FROM firsts JOIN scores USING (doc_id)
+        JOIN (SELECT url, string_agg(DISTINCT lang, '|' ORDER BY lang) AS langs FROM articles GROUP BY url) USING (url)""",
+        FIRST_PER_URL.format(
+            source="articles",
+            order="CASE WHEN data_source = 'beta' THEN 0 ELSE 1 END, list_position(['fr', 'en', 'es', 'de'], lang), doc_id",
+        ),
+        *DICTIONARIES, *article_ctes("scores", "firsts", "doc_id"),
+    ),
+    "source_run_b": on_articles(
+        CALENDAR.format(score="round(score, 12)", unit="HOUR"),
+        "named AS (SELECT * FROM articles QUALIFY row_number() OVER (PARTITION BY lang, title ORDER BY doc_id) = 1)",
+        FIRST_PER_URL.format(source="named", order="list_position(['fr', 'en', 'es', 'de'], lang), doc_id"),
+        *DICTIONARIES, *article_ctes("scores", "firsts", "doc_id"), KEYWORD_ROWS, TAGS,
+        """scored AS (SELECT datetime, unnest(string_split(tickers, '|')) AS ticker, score
+           FROM firsts JOIN scores USING (doc_id) JOIN tags USING (doc_id))""",
+        means("hour", "scored"),
+    ),
     "merge_clean": recursive(on_articles(
         "SELECT * FROM m",
         *DICTIONARIES, *article_ctes("scores", "articles", "doc_id"), KEYWORD_ROWS, TAGS, PROCESSED,
@@ -590,5 +610,6 @@ ORACLES: dict[str, str] = {
 }
 
 # The same rows by another way.
+ORACLES["merge_run_layers"] = ORACLES["merge_run"]
 ORACLES["upsert_main_any"] = ORACLES["upsert_main"]
 ORACLES["semantic_clean_large"] = ORACLES["semantic_clean"]

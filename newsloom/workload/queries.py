@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.dictionaries import MERGED_COLUMNS, SOURCE_B
+from newsloom.dictionaries import MERGED_COLUMNS, SOURCE_A, SOURCE_B
 from newsloom.functions import parse as P
 from newsloom.functions import text as X
 from newsloom.operators import merge as M
@@ -572,6 +572,37 @@ def source_run(spark, sf_dir):
     return _rounded(resample.resample_scores(main, "nltk", "D"))
 
 
+ASKED = ["fr", "en", "es", "de"]
+
+
+@query
+def source_run_a(spark, sf_dir):
+    """Two whole runs of source A, from landed envelopes to the processed main table, read back."""
+    news, root = fx.articles(spark, sf_dir), scratch_path(spark, "lake")
+    for origin in ("alpha", "beta"):
+        envelopes = fx.feed_envelopes(news.where(F.col("data_source") == origin))
+        good = landing.usable_envelopes(landing.judged(envelopes, "feed", False), ASKED)
+        runs.run_source(landing.ingest_feed(good, ASKED), SOURCE_A, root, fx.LEXICON)
+    main = files.read_snapshot(spark, f"{root}/processed/{SOURCE_A}/main")
+    return with_text_lists(
+        main.select(
+            "url", "title", "datetime", "search_terms", "ticker_names", "sentiment_label_nltk",
+            F.round("sentiment_score_nltk", 6).alias("sentiment_score_nltk"),
+        )
+    )
+
+
+@query
+def source_run_b(spark, sf_dir):
+    """A whole run of source B, from landed pages to the hourly series of the batch, read back."""
+    pages = fx.page_envelopes(fx.articles(spark, sf_dir))
+    good = landing.usable_envelopes(landing.judged(pages, "results", True), ASKED)
+    out = runs.run_source(
+        landing.ingest_pages(good, ASKED), SOURCE_B, scratch_path(spark, "lake"), fx.LEXICON, keywords=fx.KEYWORDS
+    )
+    return _rounded(spark.read.parquet(out["resampled_h"]))
+
+
 def _union_of_sources(spark, sf_dir) -> DataFrame:
     news = fx.articles(spark, sf_dir)
     a = runs.transform_a(fx.raw_a(news.where("data_source = 'alpha'")), fx.LEXICON)
@@ -595,3 +626,15 @@ def merge_run(spark, sf_dir):
     old = runs.merge_clean(union.where("data_source = 'alpha_vantage'"), fx.LEXICON)
     both = M.append_distinct(new.select(MERGED_COLUMNS), old.select(MERGED_COLUMNS))
     return with_text_lists(both.withColumn("sentiment_score_nltk", F.round("sentiment_score_nltk", 6)))
+
+
+@query
+def merge_run_layers(spark, sf_dir):
+    """The same as two runs that write their layers; the merged main table is read back."""
+    news, root = fx.articles(spark, sf_dir), scratch_path(spark, "lake")
+    a = stored(runs.transform_a(fx.raw_a(news.where("data_source = 'alpha'")), fx.LEXICON), "a")
+    b = stored(runs.transform_b(fx.raw_b(news.where("data_source = 'beta'")), fx.LEXICON, fx.KEYWORDS), "b")
+    runs.run_merge([a], root, fx.LEXICON)
+    runs.run_merge([a, b], root, fx.LEXICON)
+    main = files.read_snapshot(spark, f"{root}/merged/main")
+    return with_text_lists(main.withColumn("sentiment_score_nltk", F.round("sentiment_score_nltk", 6)))
