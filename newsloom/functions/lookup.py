@@ -21,7 +21,7 @@ def lookup(entries: Mapping[str, object], value_type: str) -> Callable[[Column],
     that are picked by checksum. The literal is folded once; nothing is joined or shuffled.
     """
     if len(entries) > MAX_ENTRIES:
-        raise ValueError(f"{len(entries)} entries; join a table instead of passing a dictionary")
+        raise ValueError(f"{len(entries)} entries; use operators.dictionary.with_dictionary")
     size = max(1, len(entries) // _PER_BUCKET)
     buckets: list[dict] = [{} for _ in range(size)]
     for key, value in entries.items():

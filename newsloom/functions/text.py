@@ -1,12 +1,14 @@
 """Column builders for tokens, sentences, lexicon sentiment and keyword tags.
 
-Everything works within a row: no join, no shuffle, no Python worker.
+Everything works within a row: no join, no shuffle, no Python worker. Where a dictionary is asked for, a mapping of
+up to ``MAX_ENTRIES`` words will do, or a function from a word to its entry; ``operators.dictionary`` makes one from a
+table of any size.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, SparkSession
@@ -37,22 +39,33 @@ def tokens(c: Column, pattern: str = TOKEN) -> Column:
     return F.regexp_extract_all(apart, F.lit(pattern), F.lit(0))
 
 
+Dictionary = Mapping | Callable[[Column], Column]
+
+
+def _looked_up(dictionary: Dictionary, value_type: str) -> Callable[[Column], Column]:
+    return dictionary if callable(dictionary) else lookup(dictionary, value_type)
+
+
 def preprocess(
-    c: Column, stopwords: Iterable[str] = (), base_forms: Mapping[str, str] | None = None
+    c: Column, stopwords: Iterable[str] | Callable[[Column], Column] = (), base_forms: Dictionary | None = None
 ) -> Column:
-    """Tokens without stopwords, each replaced by its base form (lemma or stem) if it has one."""
-    stop = sorted(set(stopwords))
+    """Tokens without stopwords, each replaced by its base form (lemma or stem) if it has one.
+
+    ``stopwords`` may be a function that gives null for all other words.
+    """
     kept = tokens(F.coalesce(c, F.lit("")))
-    if stop:
+    if callable(stopwords):
+        kept = F.filter(kept, lambda t: stopwords(t).isNull())
+    elif stop := sorted(set(stopwords)):
         kept = F.filter(kept, lambda t: ~t.isin(stop))
     if base_forms:
-        base = lookup(base_forms, "string")
+        base = _looked_up(base_forms, "string")
         kept = F.transform(kept, lambda t: F.coalesce(base(t), t))
     return kept
 
 
 def preprocess_text(
-    c: Column, stopwords: Iterable[str] = (), base_forms: Mapping[str, str] | None = None
+    c: Column, stopwords: Iterable[str] | Callable[[Column], Column] = (), base_forms: Dictionary | None = None
 ) -> Column:
     return F.array_join(preprocess(c, stopwords, base_forms), " ")
 
@@ -152,14 +165,15 @@ def _compound(total: Column) -> Column:
     return F.round(total / F.sqrt(total * total + NORMALISER), 4)
 
 
-def lexicon_score(c: Column, lexicon: Lexicon) -> Column:
+def lexicon_score(c: Column, lexicon: Lexicon, terms: Callable[[Column], Column] | None = None) -> Column:
     """Compound sentiment in [-1, 1] of a text column; null text scores zero.
 
     The text is scored as ``preprocess`` leaves it. Each token is looked up once, in a dictionary
-    that already knows about stopwords and base forms, and the context rules see only the entries.
+    that already knows about stopwords and base forms, and the context rules see only the entries. ``terms`` may take
+    the place of that dictionary: a function from a token to what ``Lexicon.terms`` holds for it.
     """
     c = F.coalesce(c, F.lit(""))
-    term = lookup(lexicon.terms(), "struct<v:double,b:double,n:boolean,drop:boolean>")
+    term = terms or lookup(lexicon.terms(), "struct<v:double,b:double,n:boolean,drop:boolean>")
     spoken = F.filter(
         F.transform(lexicon.spoken(c), term), lambda t: ~F.coalesce(t["drop"], F.lit(False))
     )
@@ -226,14 +240,13 @@ def normalize_sentence(c: Column, method: str = "regex") -> Column:
     raise ValueError(f"unknown method {method}")
 
 
-def keyword_tickers(title: Column, keywords: Mapping[str, Iterable[str]]) -> Column:
+def keyword_tickers(title: Column, keywords: Mapping[str, Iterable[str]] | Callable[[Column], Column]) -> Column:
     """Sorted distinct tickers whose keywords are words of the title.
 
-    A keyword of several words never equals a single word, so it never matches.
+    ``keywords`` may be a function from a word to its ticker. A keyword of several words never equals a single word, so it never matches.
     """
-    ticker = lookup(
-        {w.lower(): t.upper() for t, ws in keywords.items() for w in ws}, "string"
-    )
+    by_word = keywords if callable(keywords) else {w.lower(): t.upper() for t, ws in keywords.items() for w in ws}
+    ticker = _looked_up(by_word, "string")
     found = F.filter(F.transform(words(title), ticker), lambda t: t.isNotNull())
     return F.coalesce(F.array_sort(F.array_distinct(found)), empty_list())
 

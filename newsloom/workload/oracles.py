@@ -611,5 +611,7 @@ ORACLES: dict[str, str] = {
 
 # The same rows by another way.
 ORACLES["merge_run_layers"] = ORACLES["merge_run"]
+for _name in ("preprocess_text", "lexicon_score", "keyword_tag"):
+    ORACLES[f"{_name}_table"] = ORACLES[_name]
 ORACLES["upsert_main_any"] = ORACLES["upsert_main"]
 ORACLES["semantic_clean_large"] = ORACLES["semantic_clean"]

@@ -12,6 +12,7 @@ from newsloom.functions import parse as P
 from newsloom.functions import text as X
 from newsloom.operators import merge as M
 from newsloom.operators import profile, resample, semantic, validate
+from newsloom.operators.dictionary import with_dictionary
 from newsloom.plans import runs
 from newsloom.session import scratch_path, stored
 from newsloom.sources import files, landing
@@ -339,6 +340,41 @@ def preprocess_text(spark, sf_dir):
     return fx.table(spark, sf_dir, "documents").select("doc_id", clean.alias("clean"))
 
 
+def _entries(spark, columns: str, rows) -> DataFrame:
+    return spark.createDataFrame(list(rows), columns)
+
+
+@query
+def preprocess_text_table(spark, sf_dir):
+    """The same with stopwords and base forms that are tables."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    toks = X.tokens(F.coalesce("text", F.lit("")))
+    stop = _entries(spark, "word string, stop int", [(w, 1) for w in fx.LEXICON.stopwords])
+    base = _entries(spark, "word string, form string", fx.LEXICON.base_forms.items())
+    docs, is_stop = with_dictionary(docs, "doc_id", toks, stop, name="_stop")
+    docs, form = with_dictionary(docs, "doc_id", toks, base, name="_base")
+    return docs.select("doc_id", X.preprocess_text(F.col("text"), is_stop, form).alias("clean"))
+
+
+@query
+def lexicon_score_table(spark, sf_dir):
+    """The same with a lexicon that is a table."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = [(w, t["v"], t["b"], t["n"], t["drop"]) for w, t in fx.LEXICON.terms().items()]
+    terms = _entries(spark, "word string, v double, b double, n boolean, drop boolean", rows)
+    docs, term = with_dictionary(docs, "doc_id", fx.LEXICON.spoken(F.coalesce("text", F.lit(""))), terms)
+    return docs.select("doc_id", X.lexicon_score(F.col("text"), fx.LEXICON, term).alias("score"))
+
+
+@query
+def keyword_tag_table(spark, sf_dir):
+    """The same with keywords that are a table."""
+    news = fx.articles(spark, sf_dir).select("doc_id", "title")
+    rows = [(w.lower(), t.upper()) for t, ws in fx.KEYWORDS.items() for w in ws]
+    news, ticker = with_dictionary(news, "doc_id", X.words(F.col("title")), _entries(spark, "word string, ticker string", rows))
+    return news.select("doc_id", joined(X.keyword_tickers(F.col("title"), ticker)).alias("tickers"))
+
+
 @query
 def lexicon_score(spark, sf_dir):
     return fx.table(spark, sf_dir, "documents").select(
