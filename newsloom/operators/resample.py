@@ -35,10 +35,10 @@ def fill_calendar(means: DataFrame, freq: str, fill: float | None = None) -> Dat
     Each row is stretched up to the next row of its ticker, which needs neither a calendar table
     nor a join. The bounds of the table are a scalar subquery; it looks at the means and not just
     at the buckets, so that it reads the same shuffled data as the series itself. At most one row
-    per bucket and ticker gets here, so a window is as long as the calendar.
+    per bucket and ticker gets here, so a window is as long as the calendar. Rows without a score do not count.
     """
-    filled = F.when(F.col("score").isNotNull(), F.col("bucket"))
-    bounds = means.agg(F.struct(F.min(filled).alias("lo"), F.max(filled).alias("hi"))).scalar()
+    means = means.where(F.col("score").isNotNull())
+    bounds = means.agg(F.struct(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"), F.max("score"))).scalar()
     by_ticker = Window.partitionBy("ticker").orderBy("bucket")
     spans = means.select(
         "ticker",

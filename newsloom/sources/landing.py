@@ -15,7 +15,7 @@ from newsloom.functions.lookup import lookup
 from newsloom.functions.parse import parse_ts
 from newsloom.operators.merge import SEQ, keep_first
 from newsloom.operators.validate import reject_reason
-from newsloom.session import dimension
+from newsloom.session import dimension, stored
 
 # Fields of a news item per source, the list that holds them, and what names an item.
 FEED_ITEM = (
@@ -131,14 +131,19 @@ def usable_envelopes(
 ) -> DataFrame:
     """Envelopes of the (requested) terms that answered without any rejected envelope.
 
-    With ``requested`` the terms to keep are a subset of a list of the driver, short enough to be
-    broadcast, so that no payload is shuffled however many of them one term has.
+    Terms are counted first and broadcast while they are few, so that no payload is shuffled however many of them
+    one term has.
     """
     terms = _usable_terms(judged_envelopes)
     if requested is not None:
         asked = dimension(judged_envelopes.sparkSession, term=list(requested))
         terms = asked.join(terms, "term", "left_semi")
-        terms = F.broadcast(terms) if len(requested) <= MAX_BROADCAST_TERMS else terms
+    if requested is None or len(requested) > MAX_BROADCAST_TERMS:
+        terms = stored(terms, "terms")
+        few = terms.limit(MAX_BROADCAST_TERMS + 1).count() <= MAX_BROADCAST_TERMS
+    else:
+        few = True
+    terms = F.broadcast(terms) if few else terms
     return judged_envelopes.drop("reject_reason").join(terms, "term", "left_semi")
 
 

@@ -35,7 +35,7 @@ def ingest_new(
     def one_batch(envelopes: DataFrame, _: int) -> None:
         good = usable_envelopes(judged(envelopes, key, with_status), terms)
         if not good.isEmpty():
-            run_source(ingest(good), source, root, lexicon, **options)
+            run_source(ingest(good, terms), source, root, lexicon, **options)
 
     return (
         stream_landing(spark, landing)
