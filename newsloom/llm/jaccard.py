@@ -33,7 +33,7 @@ PIECE = 1 << 16
 # Columns with more rows than this are not multiplied out at once.
 WIDE = 24
 # Entries that a task holds before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 18
 
 _ENTRY = np.dtype([("key", "<u8"), ("doc", "<i8"), ("n", "<i4"), ("at", "<i4")])
 _PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])

@@ -30,6 +30,8 @@ SAMPLE = 4000
 # A language is known from this many labelled rows on.
 LEAST_ROWS = 5
 SLOTS = 1 << 14
+# Bytes of text scored at a time.
+SLICE = 1 << 17
 # Trigrams of a text are not independent: a text weighs as much as this many of them at most.
 WEIGHT = 50
 # Strength of the priors that counts are drawn to, in rows.
@@ -102,7 +104,7 @@ def fit_text_model(rows: DataFrame, sample: int = SAMPLE) -> TextModel:
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         seen: dict[str, int] = {}
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, size=SLICE):
             slots, first = trigrams(*X.utf8(X.column(batch, "text")))
             for i, lang in enumerate(X.column(batch, "lang").to_pylist()):
                 sums[lang] = sums.get(lang, 0) + np.bincount(slots[first[i] : first[i + 1]], minlength=SLOTS)
@@ -132,8 +134,8 @@ def _tempered(model: TextModel):
 
     def run(texts: pa.Array) -> pa.Array:
         out = []
-        batch = pa.record_batch({"text": pa.array(texts.fill_null(""))})
-        for part in X.slices(iter([batch])):
+        batch = pa.record_batch({"text": texts})
+        for part in X.slices(iter([batch]), size=SLICE):
             sums, n = model.score(X.column(part, "text"))
             mean = sums / np.maximum(n, 1)[:, None]
             rows = np.column_stack((mean * np.minimum(n, WEIGHT)[:, None], mean.max(axis=1), n))
@@ -158,6 +160,7 @@ def identify(
     A null, empty or letterless text is rejected, with the language that its other evidence suggests. Rows that repeat
     an id are judged one by one. An empty table gives an empty result. Columns of any name are carried along.
     """
+    X.short_batches(rows.sparkSession)
     none = F.lit(None).cast("string")
     declared = primary(declared.cast("string")) if declared is not None else none
     host = host.cast("string") if host is not None else none

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from newsloom.llm import texts as X
 from newsloom.session import stored
 
+# Bytes of text tokenised at a time.
+SLICE = 1 << 20
 # Items that one task packs, groups merged at a time, and bins that a group passes on.
 ITEMS = 50_000
 FAN_IN = 8
@@ -150,7 +152,7 @@ def _cut(path: str, capacity: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = X.kept_in_process(f"tokens of {path}", lambda: Tokens(path))
         number = TaskContext.get().partitionId() << 40
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, size=SLICE):
             rows, piece, start, length, crc = [], [], [], [], []
             for i, ids in enumerate(tokens.encode(X.column(batch, "text").to_pylist())):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")

@@ -35,7 +35,7 @@ from newsloom.session import stored
 HOT = 2000
 HOT_TABLE = 1 << 16
 # Entries, and bytes of pieces, that a task holds before it passes them on.
-HELD = 1 << 20
+HELD = 1 << 19
 HELD_BYTES = 1 << 22
 # Bytes of pieces that share the rounds of a construction; pieces of one key always do.
 ROUND_BYTES = 1 << 20

@@ -12,11 +12,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes of text that a worker turns into arrays at a time; a longer text is a slice of its own.
-SLICE = 1 << 20
+SLICE = 1 << 18
+# Rows of an Arrow batch: texts are long, and a batch is held by Spark and by the worker, more than once.
+BATCH_ROWS = 1000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -37,11 +39,17 @@ def kept_in_process(name: str, make: Callable[[], object]) -> object:
     return kept[name]
 
 
+def short_batches(spark: SparkSession) -> None:
+    """From now on, batches of this session have few rows. Results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def only(df: DataFrame, id_column: str, text: str, *more: str) -> DataFrame:
     """The columns an operator reads, under the names it uses: a null text is empty, ids are long.
 
     Other columns of ``df`` are never read, so their names cannot clash.
     """
+    short_batches(df.sparkSession)
     return df.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
