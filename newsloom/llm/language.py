@@ -99,7 +99,7 @@ def host_of(url: Column) -> Column:
 def fit_text_model(rows: DataFrame, sample: int = SAMPLE) -> TextModel:
     """Fit to rows (doc_id, text, lang): counts of slots by language, over at most ``sample`` rows."""
     ids = rows.where("lang is not null and doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    few = rows.where("lang is not null").join(F.broadcast(ids), "doc_id").select("lang", "text").repartition(4, "text")
+    few = rows.where("lang is not null").join(F.broadcast(ids), "doc_id").select("lang", "text").repartition(4, "lang")
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
