@@ -14,7 +14,9 @@ its text suggests, and a row's own count is taken out before it is judged.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +93,25 @@ def markup_language(html: Column) -> Column:
     return primary(F.regexp_extract(html, r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?([^\s"'>]+)""", 1))
 
 
+_NO_TEXT = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|</?[a-z!?](?:(?>(?:[^>"']+|"[^"]*"|'[^']*')*)>|[^>]*(?:>|\Z))""", re.S | re.I
+)
+
+
+def without_markup(html: str) -> str:
+    """The text of a page: blanks for tags, comments, scripts and styles; character references as their characters."""
+    return unescape(_NO_TEXT.sub(" ", html))
+
+
+def page_text(html: Column) -> Column:
+    """``without_markup`` of each page; an empty text for null."""
+
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([without_markup(x.as_py() or "") for x in pages], pa.string())
+
+    return F.arrow_udf(run, T.StringType())(html)
+
+
 def host_of(url: Column) -> Column:
     """The host of an address, lower case, without user and port; null if there is none."""
     return F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm.jaccard import jaccard_classes
-from newsloom.llm.language import identify
+from newsloom.llm.language import host_of, identify, markup_language, page_text
 from newsloom.llm.licenses import scan_licenses
 from newsloom.llm.mixing import MIX_SQL, mix_sources
 from newsloom.llm.packing import packed_sequences
@@ -45,7 +45,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents declare their language in ``lang``; their source stands for the host."""
+    """Pages have all the evidence: text, the language that their markup declares, and a host with its suffix."""
+    html = F.col("html")
+    found = identify(_table(spark, sf_dir, "pages"), page_text(html), markup_language(html), host_of(F.col("url")), id_column="page_id")
+    return found.select(F.col("row.page_id").alias("page_id"), "language", "probability", "rejected")
+
+
+def op4_language_id_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form of the pipeline: documents declare their language in ``lang``; their source stands for the host and has no suffix."""
     found = identify(_table(spark, sf_dir, "documents"), F.col("text"), F.col("lang"), F.col("source"))
     return found.select(F.col("row.doc_id").alias("doc_id"), "language", "probability", "rejected")
 
@@ -80,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
+    "op4_language_id_documents": op4_language_id_documents,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_warc": op6_warc,
     "op7_license_scan": op7_license_scan,

@@ -125,3 +125,28 @@ def test_language_odd_rows(odd, odd_rows, empty):
     assert all(r.rejected for r in got if not (r.row.text or "").strip())
     assert all(r.row["at"] == "clash" for r in got)
     assert language.identify(empty, F.col("text"), F.col("lang"), F.col("source")).collect() == []
+
+
+def test_pages_without_markup():
+    page = """<html lang="de"><script>var t="</p>";</script><style>p{}</style><!-- no > --><p title="a>b">caf&eacute; &amp; bar<BR/>1 < 2<img alt='x' """
+    assert language.without_markup(page).split() == ["café", "&", "bar", "1", "<", "2"]
+    assert language.without_markup("<script>never closed") == " " and language.without_markup('<a title="never closed>text').split() == ["text"]
+
+
+def test_all_pages_are_judged(spark, real):
+    got = {r.page_id: r for r in QUERIES["op4_language_id"](spark, real).collect()}
+    pages = spark.read.parquet(f"{real}/pages.parquet").select("page_id", language.markup_language(F.col("html")).alias("declared")).collect()
+    assert got.keys() == {r.page_id for r in pages}
+    assert sum(got[r.page_id].language == r.declared for r in pages) >= 0.95 * len(pages)
+
+
+def test_suffixes_decide_for_new_hosts(spark):
+    """Texts without a hint on hosts that occur once: those of a suffix follow it."""
+    model = language.TextModel(["de", "en"], __import__("numpy").zeros((language.SLOTS, 2)), 0.0, 1.0)
+    model.table[language.trigrams(*__import__("newsloom.llm.texts", fromlist=["utf8"]).utf8(pa.array(["guten"])))[0], 1] = -9.0
+    model.table[language.trigrams(*__import__("newsloom.llm.texts", fromlist=["utf8"]).utf8(pa.array(["hello"])))[0], 0] = -9.0
+    rows = [(i, f"https://h{i}.example.{'de' if i % 2 else 'com'}/x", "guten" if i % 2 else "hello") for i in range(200)]
+    rows += [(1001, "http://new1.example.de", "xyz"), (1002, "http://new2.example.com", "xyz")]
+    df = spark.createDataFrame(rows, "page_id long, url string, text string")
+    got = language.identify(df, F.col("text"), None, language.host_of(F.col("url")), model, "page_id").where("row.page_id > 1000").collect()
+    assert {r.row.page_id: r.language for r in got} == {1001: "de", 1002: "en"}
