@@ -20,16 +20,16 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.llm import texts as X
 from newsloom.session import stored
 
-# The text model is fitted to at most this many labelled rows, those with the smallest hash of their id.
+# The text model is fitted to at most this many labelled rows of each language, those with the smallest hash of their id.
 SAMPLE = 4000
-# A language is known from this many labelled rows on.
+# A language is known from this many labelled rows of the whole table on.
 LEAST_ROWS = 5
 SLOTS = 1 << 14
 # Bytes of text scored at a time.
@@ -38,8 +38,8 @@ SLICE = 1 << 17
 WEIGHT = 50
 # Strength of the priors that counts are drawn to, in rows.
 TO_SUFFIX, TO_TABLE, TO_EVEN = 20.0, 50.0, 1.0
-# A text whose mean log likelihood per trigram is further below the sample's mean, in standard deviations, is in no
-# known language.
+# A text whose mean log likelihood per trigram is, in every language, further below the mean of that language's own
+# sample, in standard deviations, is in no known language.
 FAR = 20.0
 
 # Bytes of letters: a-z (A-Z are lowered) and all of multi-byte characters; everything else is one blank.
@@ -65,12 +65,12 @@ def trigrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 @dataclass
 class TextModel:
-    """Log likelihoods by slot and language; mean and deviation of the sample's own likelihoods."""
+    """Log likelihoods by slot and language; mean and deviation of what each language's sample has in its own language."""
 
     languages: list[str]
     table: np.ndarray
-    mean: float
-    deviation: float
+    mean: np.ndarray | float
+    deviation: np.ndarray | float
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The sum of log likelihoods per language and the number of trigrams, for each text."""
@@ -117,28 +117,42 @@ def host_of(url: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
+def sample_by_language(rows: DataFrame, sample: int, least: int = LEAST_ROWS) -> DataFrame:
+    """Rows (lang, text): of each language that ``least`` rows declare, the ``sample`` rows of smallest hash, or all.
+
+    Rows are counted over the whole table. Hashes are then compared with the share that a language's sample is of its
+    rows, so few more rows than the sample are put in order, however many there are.
+    """
+    hashed = rows.where("lang is not null").select("lang", "doc_id", "text", F.xxhash64("doc_id").alias("hash"))
+    known = hashed.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("lowest")).where(F.col("n") >= least)
+    # A fifth more than the sample, and the smallest hash whatever its place: rows may share an id.
+    reach = -(2.0**63) + F.least(F.lit(1.0), (1.2 * sample + 100) / F.col("n")) * 2.0**64
+    known = stored(known.select(F.col("lang").alias("of"), "lowest", reach.alias("reach")), "languages")
+    near = hashed.join(known, hashed["lang"] == known["of"]).where((F.col("hash").cast("double") <= F.col("reach")) | (F.col("hash") == F.col("lowest")))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id", F.xxhash64("text"), "text"))
+    return near.select("lang", "text", first.alias("place")).where(F.col("place") <= sample).select("lang", "text")
+
+
 def fit_text_model(rows: DataFrame, sample: int = SAMPLE) -> TextModel:
-    """Fit to rows (doc_id, text, lang): counts of slots by language, over at most ``sample`` rows."""
-    ids = rows.where("lang is not null and doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    few = rows.where("lang is not null").join(F.broadcast(ids), "doc_id").select("lang", "text").repartition(4, "lang")
+    """Fit to rows (doc_id, text, lang): counts of slots by language, over at most ``sample`` rows of each language.
+
+    Every language that ``LEAST_ROWS`` rows of the whole table declare is known, at any size of the table.
+    """
+    few = sample_by_language(rows, sample).repartition("lang")
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        seen: dict[str, int] = {}
         for batch in X.slices(batches, size=SLICE):
             slots, first = trigrams(*X.utf8(X.column(batch, "text")))
             for i, lang in enumerate(X.column(batch, "lang").to_pylist()):
                 sums[lang] = sums.get(lang, 0) + np.bincount(slots[first[i] : first[i + 1]], minlength=SLOTS)
-                seen[lang] = seen.get(lang, 0) + 1
         for lang, total in sums.items():
-            yield pa.record_batch({"lang": pa.array([lang]), "n": pa.array([seen[lang]], pa.int64()), "counts": pa.array([total.astype("<f8").tobytes()], pa.binary())})
+            yield pa.record_batch({"lang": pa.array([lang]), "counts": pa.array([total.astype("<f8").tobytes()], pa.binary())})
 
     total: dict[str, np.ndarray] = {}
-    seen: dict[str, int] = {}
-    for row in few.mapInArrow(count, "lang string, n long, counts binary").collect():
+    for row in few.mapInArrow(count, "lang string, counts binary").toLocalIterator():
         total[row.lang] = total.get(row.lang, 0) + np.frombuffer(row.counts, "<f8")
-        seen[row.lang] = seen.get(row.lang, 0) + row.n
-    languages = sorted(x for x in total if seen[x] >= LEAST_ROWS)
+    languages = sorted(total)
     if not languages:
         return TextModel(["und"], np.zeros((SLOTS, 1)), 0.0, 1.0)
     counts = np.column_stack([total[x] for x in languages])
@@ -147,11 +161,12 @@ def fit_text_model(rows: DataFrame, sample: int = SAMPLE) -> TextModel:
     share = counts / np.maximum(1, counts.sum(axis=0))
     mean = (share * table).sum(axis=0)
     deviation = np.sqrt((share * (table - mean) ** 2).sum(axis=0))
-    return TextModel(languages, table, float(mean.mean()), float(deviation.mean()))
+    return TextModel(languages, table, mean, deviation)
 
 
 def _tempered(model: TextModel):
-    """Per row: log likelihoods of a text that weighs ``WEIGHT`` trigrams at most, then its best mean, then its size."""
+    """Per row: log likelihoods of a text that weighs ``WEIGHT`` trigrams at most, then
+    by how much its mean is above the bound of the language it suits best, then its size."""
 
     def run(texts: pa.Array) -> pa.Array:
         out = []
@@ -159,7 +174,9 @@ def _tempered(model: TextModel):
         for part in X.slices(iter([batch]), size=SLICE):
             sums, n = model.score(X.column(part, "text"))
             mean = sums / np.maximum(n, 1)[:, None]
-            rows = np.column_stack((mean * np.minimum(n, WEIGHT)[:, None], mean.max(axis=1), n))
+            weight = np.minimum(n, WEIGHT)[:, None]
+            bound = model.mean - FAR * model.deviation / np.sqrt(np.maximum(weight, 1))
+            rows = np.column_stack((mean * weight, (mean - bound).max(axis=1), n))
             out.append(rows)
         flat = np.concatenate(out) if out else np.zeros((0, len(model.languages) + 2))
         return pa.array(list(flat), pa.list_(pa.float64()))
@@ -176,7 +193,8 @@ def identify(
     ``declared`` is the declared language of a row and ``host`` where it is from, as a name or a full host name; its
     suffix is what follows the last dot. Evidence that a row lacks (null) does not count. Without ``model``, one is fitted
     to the rows that declare a language. A row is rejected if its text has no letters, or is in none of the known
-    languages: its mean likelihood per trigram is far below the sample's, or no language reaches one half.
+    languages: its mean likelihood per trigram is far below that of each language's sample, or no language reaches one
+    half.
 
     A null, empty or letterless text is rejected, with the language that its other evidence suggests. Rows that repeat
     an id are judged one by one. An empty table gives an empty result. Columns of any name are carried along.
@@ -233,7 +251,6 @@ def identify(
     out = out.withColumn("odds", odds).withColumn("most", F.array_max("odds"))
     share = 1 / F.aggregate(F.transform("odds", lambda x: F.exp(x - F.col("most"))), F.lit(0.0), lambda a, x: a + x)
     language = F.element_at(F.array(*map(F.lit, names)), F.array_position("odds", F.col("most")).cast("int"))
-    size, mean = F.element_at("found", -1), F.element_at("found", -2)
-    far = mean < model.mean - FAR * model.deviation / F.sqrt(F.least(size, F.lit(float(WEIGHT))))
-    rejected = (size == 0) | far | (share < 0.5)
+    size, above = F.element_at("found", -1), F.element_at("found", -2)
+    rejected = (size == 0) | (above < 0) | (share < 0.5)
     return out.select("row", language.alias("language"), share.alias("probability"), rejected.alias("rejected"))

@@ -127,6 +127,33 @@ def test_language_odd_rows(odd, odd_rows, empty):
     assert language.identify(empty, F.col("text"), F.col("lang"), F.col("source")).collect() == []
 
 
+def test_rare_languages_are_known_at_any_size(spark):
+    """Of 6,000 rows six are Finnish: a sample of 4,000 rows of the whole table holds four of them, too few."""
+    finnish = "tämä on lyhyt suomenkielinen teksti jossa kerrotaan päivän säästä ja tuulesta"
+    rows = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 1000 == 3, F.lit("fi")).otherwise("en").alias("lang"),
+        F.when(F.col("id") % 1000 == 3, F.lit(finnish)).otherwise("this is a short english text about the weather of the day and the wind").alias("text"),
+    )
+    few = rows.where("doc_id < 400 or lang = 'fi'")
+    assert language.fit_text_model(few, sample=20).languages == ["en", "fi"]
+    assert language.fit_text_model(rows.where("lang = 'en' or doc_id < 4000")).languages == ["en"]  # four rows are not enough
+    got = language.identify(rows, F.col("text"), F.col("lang")).where("row.lang = 'fi'").collect()
+    assert len(got) == 6 and all(r.language == "fi" and not r.rejected for r in got)
+
+
+def test_samples_are_those_of_smallest_hash(spark):
+    """Per language, with rows that share an id or have none."""
+    rows = [(i % 90 if i % 50 else None, f"text {i}", "ab" if i % 3 else "cd") for i in range(600)] + [(7, f"copy {i}", "ef") for i in range(30)] + [(1, "x", None)] * 9 + [(2, "y", "gh")] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hashes = {r.doc_id: r.h for r in df.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    got = [tuple(r) for r in language.sample_by_language(df, 12).collect()]
+    for lang in ("ab", "cd", "ef"):
+        mine = sorted(hashes[i] for i, _, x in rows if x == lang)[:12]
+        ids = {text: i for i, text, x in rows if x == lang}
+        assert sorted(hashes[ids[text]] for x, text in got if x == lang) == mine
+    assert len(got) == 36
+
+
 def test_pages_without_markup():
     page = """<html lang="de"><script>var t="</p>";</script><style>p{}</style><!-- no > --><p title="a>b">caf&eacute; &amp; bar<BR/>1 < 2<img alt='x' """
     assert language.without_markup(page).split() == ["café", "&", "bar", "1", "<", "2"]
