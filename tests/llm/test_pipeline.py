@@ -51,3 +51,21 @@ def test_cut_texts_are_valid(spark, empty_text):
     docs = spark.createDataFrame([(1, "x" + "é" * 120, "en", "a", 1), (2, "é" * 60 + "y", "en", "a", 1), (3, empty_text, "en", "a", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     rows = {r.doc_id: r.text for r in pipeline.suffix_array_dedup(spark, docs, "").collect()}
     assert rows[2] == "y" and "\N{REPLACEMENT CHARACTER}" not in "".join(x or "" for x in rows.values())
+
+
+def test_near_copies_of_five_words(spark, real, monkeypatch):
+    """Against all pairs of five-word sets; among them copies with a fifth more text or with words changed."""
+    import test_jaccard
+
+    four = test_jaccard.shingles
+    docs = spark.read.parquet(f"{real}/documents.parquet").select(*COLUMNS)
+    words = [f"w{i}" for i in range(400)]
+    changed = [f"x{i}" if i % 47 == 20 else x for i, x in enumerate(words)]
+    more = [(10**6, " ".join(words)), (10**6 + 1, " ".join(words + [f"y{i}" for i in range(80)])), (10**6 + 2, " ".join(changed))]
+    docs = stored(docs.union(spark.createDataFrame([(i, x, "en", "src0", len(x)) for i, x in more], docs.schema)), "test")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert [c for _, _, c in test_jaccard.brute(more)] == [10**6, 10**6 + 1, 10**6 + 2]  # op9's contract links none of them
+    monkeypatch.setattr(test_jaccard, "shingles", lambda text: four(text, 5))
+    want = sorted(i for i, _, c in test_jaccard.brute(rows, percent=80) if i == c)
+    assert sorted(r.doc_id for r in pipeline.ngram_jaccard_join(spark, docs, real).collect()) == want
+    assert 10**6 in want and 10**6 + 1 not in want and 10**6 + 2 not in want
