@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -202,23 +203,24 @@ def _unpack_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _compare(k: int, percent: int):
-    """Keep the pairs whose whole sets are similar."""
+    """Keep the pairs whose whole sets are similar. Rows of an id may have different texts; each is compared as it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, last, kept = X.Words(), None, None
         for batch in X.slices(batches, "text_b"):
             a, b = X.longs(batch, "a"), X.longs(batch, "b")
             ours = X.shingle_sets(words, X.column(batch, "text_b"), k)
-            fresh = np.flatnonzero(np.concatenate(([a[0] != last], a[1:] != a[:-1])))
-            theirs = dict(zip(a[fresh].tolist(), X.shingle_sets(words, X.column(batch, "text_a").take(pa.array(fresh)), k), strict=True))
-            if last is not None:
-                theirs.setdefault(last, kept)
+            # Runs of one text_a have one set; the first may go on from the batch before.
+            texts = X.column(batch, "text_a")
+            changed = pc.not_equal(texts.slice(1), texts.slice(0, len(texts) - 1)).to_numpy(zero_copy_only=False)
+            fresh = np.concatenate(([last is None or not texts[0].equals(last)], changed))
+            theirs = [kept, *X.shingle_sets(words, texts.take(pa.array(np.flatnonzero(fresh))), k)]
             good = []
-            for i, mine in enumerate(ours):
-                other = theirs[int(a[i])]
+            for mine, run_of in zip(ours, np.cumsum(fresh).tolist(), strict=True):
+                other = theirs[run_of]
                 both = len(mine) + len(other) - len(np.unique(np.concatenate((mine, other))))
                 good.append(both > 0 and 100 * both >= percent * (len(mine) + len(other) - both))
-            last, kept = int(a[-1]), theirs[int(a[-1])]
+            last, kept = texts[-1], theirs[-1]
             good = np.asarray(good)
             yield pa.record_batch({"a": pa.array(a[good]), "b": pa.array(b[good])})
 

@@ -66,6 +66,28 @@ def test_crowds_of_near_copies(spark, monkeypatch, wide):
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
+def test_near_copies_of_each_text_of_a_repeated_id(spark):
+    """Both texts of id 20 have a near copy, whichever row comes first; so have those of ids 31 and 33."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(20, a), (20, b), (21, b + " tail"), (22, a + " tail"), (31, c), (30, b.replace("b5 ", "new ")), (31, "x " + a), (33, c), (33, "y z"), (34, c + " end")]
+    for some in (rows, rows[::-1], rows[1:] + rows[:1], rows[:3], [rows[1], rows[0], rows[2]]):
+        got = jaccard.jaccard_classes(spark.createDataFrame(some, "doc_id long, text string").coalesce(1))
+        assert sorted(map(tuple, got.collect()), key=str) == brute(some)
+
+
+@pytest.mark.parametrize("size", [1, 1 << 18])
+def test_each_row_is_compared_with_its_own_text(monkeypatch, size):
+    """Runs of rows of one id, cut into batches of one row or not."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard.X.slices, "__defaults__", ("text", size))
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    ours, theirs = [a, a, b, b, a, b], [a, b, b, a, a, b]
+    batch = pa.record_batch({"a": [20] * 6, "b": [*range(21, 27)], "text_a": ours, "text_b": [x + " tail" for x in theirs]})
+    found = [x for out in jaccard._compare(4, 85)(iter([batch])) for x in out.column("b").to_pylist()]
+    assert found == [21, 23, 25, 26]
+
+
 def test_components(spark):
     random.seed(3)
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (5, 200), (200, 5)] + [(300, i) for i in range(301, 340)]
