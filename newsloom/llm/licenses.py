@@ -9,7 +9,7 @@ and the number of blanks before a hit is the place of its first word.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -84,56 +84,67 @@ def _value(identifier: str) -> Expression:
     return Expression(FREEDOM.get(label, UNKNOWN), frozenset([label]))
 
 
-def evaluate(tokens: list[str]) -> tuple[Expression | None, int]:
-    """The value of the longest valid expression that begins a list of tokens, and how many tokens it has.
+def _beginning(tokens: Iterable[str]) -> list[str]:
+    """The longest beginning of the tokens that is a valid expression; no token behind the first misplaced one is read."""
+    read, end, depth, operand_next = [], 0, 0, True
+    for token in tokens:
+        operator = token in _PRECEDENCE
+        if (operator or token == ")") == operand_next or (token == "(" and not operand_next):
+            break
+        if not operand_next and not operator and token != ")":
+            break
+        if token == ")" and not depth:
+            break
+        read.append(token)
+        depth += (token == "(") - (token == ")")
+        operand_next = operator or token == "("
+        if not operand_next and not depth:
+            end = len(read)
+    return read[:end]
+
+
+def evaluate(tokens: Iterable[str]) -> tuple[Expression | None, int]:
+    """The value of the longest valid expression that begins the tokens, and how many tokens it has.
 
     Shunting-yard: operators wait on a stack until one of lower precedence, a closing bracket or the end applies them.
     ``or`` lets the reader choose and is as free as the freer side, ``and`` binds to both and is as free as the less
     free, and ``with`` adds an exception to the licence before it and leaves it as free as it was. ``with`` binds
-    closest, then ``and``. Without a valid expression the value is None.
+    closest, then ``and``. Without a valid expression the value is None. An expression may have any number of tokens: it
+    is read once and evaluated once, and of two sets of labels the smaller is added to the larger.
     """
-    values: list[Expression] = []
+    tokens = _beginning(tokens)
+    if not tokens:
+        return None, 0
+    values: list[tuple[float, set[str]]] = []
     waiting: list[str] = []
-    best: tuple[Expression | None, int] = (None, 0)
 
-    def apply(operator: str, values: list[Expression]) -> None:
+    def apply(operator: str) -> None:
         right, left = values.pop(), values.pop()
         if operator == "with":
             values.append(left)
-        else:
-            choose = max if operator == "or" else min
-            values.append(Expression(choose(left.freedom, right.freedom), left.labels | right.labels))
-
-    operand_next = True
-    for i, token in enumerate(tokens):
-        if operand_next:
-            if token == "(":
-                waiting.append(token)
-                continue
-            if token == ")" or token in _PRECEDENCE:
-                break
-            values.append(_value(token))
-            operand_next = False
+            return
+        small, large = sorted((left[1], right[1]), key=len)
+        large |= small
+        values.append(((max if operator == "or" else min)(left[0], right[0]), large))
+
+    for token in tokens:
+        if token == "(":
+            waiting.append(token)
         elif token == ")":
-            while waiting and waiting[-1] != "(":
-                apply(waiting.pop(), values)
-            if not waiting:
-                break
+            while waiting[-1] != "(":
+                apply(waiting.pop())
             waiting.pop()
         elif token in _PRECEDENCE:
             while waiting and waiting[-1] != "(" and _PRECEDENCE[waiting[-1]] >= _PRECEDENCE[token]:
-                apply(waiting.pop(), values)
+                apply(waiting.pop())
             waiting.append(token)
-            operand_next = True
-            continue
         else:
-            break
-        if "(" not in waiting:
-            ended = values.copy()
-            for operator in reversed(waiting):
-                apply(operator, ended)
-            best = (ended[-1], i + 1)
-    return best
+            one = _value(token)
+            values.append((one.freedom, set(one.labels)))
+    while waiting:
+        apply(waiting.pop())
+    freedom, labels = values.pop()
+    return Expression(freedom, frozenset(labels)), len(tokens)
 
 
 def as_words(text: bytes) -> bytes:
@@ -162,12 +173,12 @@ class Scanner:
 
     def expressions(self, text: str) -> list[Expression]:
         """The expressions behind the tags of a text; one reaches to the end of its line at most."""
-        lower, out = text.lower(), []
+        lower, out, end = text.lower(), [], -1
         for hit in self.tag.finditer(lower):
-            end = lower.find("\n", hit.end())
-            line = lower[hit.end() : end if end >= 0 else len(lower)].lstrip(" \t:=\"'")
-            tokens = _TOKEN.findall(line)
-            value, _ = evaluate(tokens[:64])
+            if end < hit.end():
+                end = lower.find("\n", hit.end())
+                end = end if end >= 0 else len(lower)
+            value, _ = evaluate(token[0] for token in _TOKEN.finditer(lower, hit.end(), end))
             if value is not None:
                 out.append(value)
         return out

@@ -101,3 +101,41 @@ def test_expressions():
     assert value("( MIT or ISC") == (None, 0)
     assert value("and MIT") == (None, 0)
     assert value("MIT ) or ISC") == ((1.0, ["mit"]), 1)
+
+
+def test_long_expressions(spark):
+    """Labels and the strictest licence behind the 64th token count, in lists and in brackets."""
+    some = " AND ".join(["MIT", "ISC"] * 40)
+    texts = [
+        f"SPDX-License-Identifier: {some} AND GPL-3.0-only", f"SPDX-License-Identifier: ({some} AND GPL-3.0-only) OR LGPL-2.1 tail",
+        "License-Expression: " + "(" * 5000 + "MIT" + ")" * 5000, "License-Expression: " + " or ".join(f"own-{i}" for i in range(20_000)) + "\nand MIT",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(df).collect()}
+    assert got[0] == ("gpl-3,isc,mit", 0.4) and got[1] == ("gpl-3,isc,lgpl,mit", 0.5) and got[2] == ("mit", 1.0)
+    assert got[3] == (",".join(sorted(f"own-{i}" for i in range(20_000))), 0.5)
+
+
+def test_valid_beginnings():
+    """Against a recursive parser over all short lists of tokens."""
+    import itertools
+
+    def parse(tokens):
+        def operand(i):
+            if i < len(tokens) and tokens[i] == "(":
+                i = expression(i + 1)
+                return i + 1 if i is not None and i < len(tokens) and tokens[i] == ")" else None
+            return i + 1 if i < len(tokens) and tokens[i] == "mit" else None
+
+        def expression(i):
+            i = operand(i)
+            while i is not None and i < len(tokens) and tokens[i] == "or":
+                i = operand(i + 1)
+            return i
+
+        return expression(0) == len(tokens)
+
+    for n in range(7):
+        for tokens in itertools.product(["mit", "or", "(", ")"], repeat=n):
+            want = max((k for k in range(n + 1) if parse(tokens[:k])), default=0)
+            assert licenses.evaluate(list(tokens))[1] == want, tokens
