@@ -11,6 +11,7 @@ task of the tree stays small at any size of the input.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -51,6 +52,9 @@ class Tokens:
     The vocabulary splits a text into words before any merge, so a word has the same ids everywhere. Words are found
     in arrays of code points and looked up by a 64-bit hash; only words not seen before go through the tokenizer's
     merges. At most ``limit`` words are remembered.
+
+    ``encode`` takes a text as ordinary words; ``encode_with_added`` first looks for the tokens that the file adds to
+    its vocabulary, as the tokenizer does when it is loaded.
     """
 
     limit = 1 << 21
@@ -61,6 +65,13 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: i for i, t in added.items()}
+        # The longest of those that begin at a place.
+        self.split = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
+        # Tokens that look at what is around them are left to the tokenizer.
+        self.plain = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
+        self.loaded = Tokenizer.from_file(path)
         self.classes = _character_classes()
         # Byte-level vocabularies write printable bytes as themselves and the others as code points from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -146,6 +157,26 @@ class Tokens:
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+    def encode_with_added(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, with those of the file's added tokens where their names stand."""
+        special = [i for i, t in enumerate(texts) if self.split.search(t)]
+        if not special:
+            return self.encode(texts)
+        if not self.plain:
+            out = self.encode(texts)
+            for i in special:
+                out[i] = np.asarray(self.loaded.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+            return out
+        parts, names = [self.split.split(t) for t in texts], [self.split.findall(t) for t in texts]
+        found, out = iter(self.encode([p for x in parts for p in x])), []
+        for some in names:
+            ids = [next(found)]
+            for name in some:
+                ids += [np.asarray([self.added[name]], np.uint32), next(found)]
+            out.append(np.concatenate(ids))
+        return out
+
+
 def _cut(path: str, capacity: int, end: int):
     """Token ids of each text and their pieces. Pieces get a number of their own."""
 
@@ -154,7 +185,7 @@ def _cut(path: str, capacity: int, end: int):
         number = TaskContext.get().partitionId() << 40
         for batch in X.slices(batches, size=SLICE):
             rows, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(tokens.encode(X.column(batch, "text").to_pylist())):
+            for i, ids in enumerate(tokens.encode_with_added(X.column(batch, "text").to_pylist())):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")
                 n = -(-len(ids) // capacity)
                 a = 0
@@ -273,7 +304,7 @@ def packed_sequences(
 
     A document's ids are those of the vocabulary file ``tokenizer`` (a path), then ``end``. Only a document of more
     than ``capacity`` ids is cut: all pieces but the first have ``capacity`` ids. Pieces of a sequence lie one after
-    the other from 0 on. A special token's name in a text is ordinary text.
+    the other from 0 on. A name of one of the file's added tokens in a text is that token, special or not.
 
     A null or empty text is the one id ``end``. Each of several rows with the same or a null id is a document of its
     own. An empty table gives an empty result. Other columns are not read.

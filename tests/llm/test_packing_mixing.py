@@ -31,6 +31,31 @@ def test_words_of_odd_texts_have_the_tokenizer_s_ids(tokenizer):
         assert [x.tolist() for x in got] == [e.ids for e in tokenizer.encode_batch(texts[top : top + 300], add_special_tokens=False)]
 
 
+@pytest.fixture(scope="module")
+def loaded():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(TOKENIZER)
+
+
+def test_added_tokens_have_the_loaded_tokenizer_s_ids(loaded):
+    random.seed(4)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "<", "'s", "a", " ", "\n", "é", "！", ""]
+    texts = ["", "a<|endoftext|>b", "<|endoftext|>"] + ["".join(random.choice(parts) for _ in range(random.randrange(12))) for _ in range(1000)]
+    want = [e.ids for e in loaded.encode_batch(texts, add_special_tokens=False)]
+    tokens = packing.Tokens(TOKENIZER)
+    assert want[1] == [64, 50256, 65]
+    assert [x.tolist() for x in tokens.encode_with_added(texts)] == want
+    tokens.plain = False
+    assert [x.tolist() for x in tokens.encode_with_added(texts)] == want
+
+
+def test_packing_added_tokens(spark, loaded):
+    texts = ["a<|endoftext|>b", "<|endoftext|>" * 700, "none"]
+    rows = packing.packed_sequences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), TOKENIZER, capacity=256).collect()
+    check(rows, texts, loaded, 256)
+
+
 def check(rows, texts, tokenizer, capacity):
     """Pieces cover each text's ids; sequences are gapless. Returns the number of sequences and the lower bound."""
     want = sorted([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for t in texts)
