@@ -128,7 +128,7 @@ def test_language_odd_rows(odd, odd_rows, empty):
 
 
 def test_rare_languages_are_known_at_any_size(spark):
-    """Of 6,000 rows six are Finnish: a sample of 4,000 rows of the whole table holds four of them, too few."""
+    """Of 6,000 rows six are Finnish: one sample of 4,000 rows would hold about four of them, and five are needed."""
     finnish = "tämä on lyhyt suomenkielinen teksti jossa kerrotaan päivän säästä ja tuulesta"
     rows = spark.range(6000).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") % 1000 == 3, F.lit("fi")).otherwise("en").alias("lang"),
