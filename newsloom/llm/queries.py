@@ -8,14 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.llm.codes import codes_sql, vector_codes
 from newsloom.llm.jaccard import jaccard_classes
 from newsloom.llm.language import host_of, identify, markup_language, page_text
 from newsloom.llm.licenses import scan_licenses
 from newsloom.llm.mixing import MIX_SQL, mix_sources
 from newsloom.llm.packing import packed_sequences
 from newsloom.llm.suffixes import remove_repeats
-from newsloom.llm import toxicity
+from newsloom.llm import quality, toxicity
 from newsloom.llm.topk import TOP_K_SQL, top_k
+from newsloom.llm.variants import VARIANTS_SQL, spelling_variants
 from newsloom.llm.vectors import near_duplicates
 from newsloom.llm.warc import WARC_SQL, archive_pages, read_bundles
 
@@ -82,6 +84,20 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score_texts(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -94,10 +110,15 @@ QUERIES: dict[str, Query] = {
     "op8_top_k": op8_top_k,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_mix_sources": op10_mix_sources,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_quality": op12_quality,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
     "op6_warc": WARC_SQL,
     "op8_top_k": TOP_K_SQL,
     "op10_mix_sources": MIX_SQL,
+    "op11_vector_codes": codes_sql(),
+    "op13_spelling_variants": VARIANTS_SQL,
 }
