@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import heapq
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,18 +76,44 @@ def ball_tree(vectors: np.ndarray, leaf: int = LEAF) -> dict[str, np.ndarray]:
     }
 
 
+def _whole(raw: np.ndarray, scale: float) -> np.ndarray:
+    """floor(scale * x) of any finite numbers as exact integers. ``scale`` is a power of two."""
+    return np.array([[int(x) * int(scale) if abs(x) >= 2.0**53 else int(np.floor(scale * x)) for x in row] for row in raw.tolist()], object).reshape(raw.shape)
+
+
+def _clipped(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of exact integers; those beyond the range of a long stop at its ends."""
+    return np.clip(a @ b.T, -(1 << 63), (1 << 63) - 1)
+
+
+def _floors(raw: np.ndarray, scale: float) -> tuple[np.ndarray, int]:
+    """floor(scale * x) over 2^shift. The shift is 0 unless squares of such numbers might overflow."""
+    top = int(np.frexp(np.abs(raw).max(initial=0.0))[1]) + int(np.log2(scale))
+    shift = top if top > 400 else 0
+    if not shift:
+        return np.floor(scale * raw), 0
+    large = np.abs(raw) >= 2.0**53
+    return np.where(large, np.ldexp(raw, int(np.log2(scale)) - shift), np.ldexp(np.floor(scale * np.where(large, 0.0, raw)), -shift)), shift
+
+
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of integers held as doubles; those beyond the range of a long stop at its ends."""
     if not len(a) or not len(b) or np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1]) < _EXACT:
         return a @ b.T
-    whole = np.array([[int(x) for x in r] for r in a], object) @ np.array([[int(x) for x in r] for r in b], object).T
-    return np.clip(whole, -(1 << 63), (1 << 63) - 1)
+    return _clipped(_whole(a, 1), _whole(b, 1))
+
 
+def search(
+    tree: dict[str, np.ndarray], ids: np.ndarray, vectors: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray,
+    shift: int = 0, products: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+):
+    """The best ``k`` (score, id) per query with scores of at least ``floor``; also how many rows were scored.
 
-def search(tree: dict[str, np.ndarray], ids: np.ndarray, vectors: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray):
-    """The best ``k`` (score, id) per query with scores of at least ``floor``; also how many rows were scored."""
+    Vectors and queries may be given over powers of two, ``shift`` in all; ``products`` then gives the exact scores of
+    some queries and rows.
+    """
     n = len(q)
-    exact = not len(q) or np.abs(q).max(initial=0) * np.abs(vectors).max(initial=0) * max(1, q.shape[1]) < _EXACT
+    exact = not shift and (not len(q) or np.abs(q).max(initial=0) * np.abs(vectors).max(initial=0) * max(1, q.shape[1]) < _EXACT)
     kind = np.float64 if exact else object
     score = np.full((n, k), -np.inf, kind)
     best = np.full((n, k), np.iinfo(np.int64).max)
@@ -95,6 +121,9 @@ def search(tree: dict[str, np.ndarray], ids: np.ndarray, vectors: np.ndarray, q:
     length = np.sqrt((q**2).sum(axis=1))
     bound = q @ tree["centre"].T + np.outer(length, tree["radius"])
     bound += 1e-9 * (np.abs(bound) + np.outer(length, tree["radius"] + np.sqrt((tree["centre"] ** 2).sum(axis=1)))) + 1e-6
+    # Scores stop at the ends of a long, so bounds do not go below it either.
+    with np.errstate(over="ignore"):
+        bound = np.maximum(np.ldexp(bound, shift), -(2.0**63))
     heap, scored = [(-bound[:, 0].max(initial=-np.inf), 0)], 0
     while heap:
         _, node = heapq.heappop(heap)
@@ -106,7 +135,7 @@ def search(tree: dict[str, np.ndarray], ids: np.ndarray, vectors: np.ndarray, q:
                 heapq.heappush(heap, (-bound[open_, child].max(), int(child)))
             continue
         rows = tree["order"][tree["low"][node] : tree["high"][node]]
-        found = _products(q[open_], vectors[rows]).astype(kind)
+        found = (products(open_, rows) if shift else _products(q[open_], vectors[rows])).astype(kind)
         scored += found.size
         names = np.broadcast_to(ids[rows], found.shape)
         found[names == own[open_, None]] = -np.inf
@@ -121,10 +150,9 @@ def search(tree: dict[str, np.ndarray], ids: np.ndarray, vectors: np.ndarray, q:
     return score, best, scored
 
 
-def _matrix(column: pa.Array, scale: float) -> np.ndarray:
-    """Equally long vectors as rows of floor(scale * x)."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return np.floor(scale * flat).reshape(len(column), -1)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Equally long vectors as rows."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def _grow(scale: float):
@@ -136,18 +164,18 @@ def _grow(scale: float):
             keys = list(zip(X.column(batch, "dim").to_pylist(), X.column(batch, "shard").to_pylist(), strict=True))
             for key in set(keys):
                 mine = batch.filter(pa.array([x == key for x in keys]))
-                held.setdefault(key, []).append((X.longs(mine, "vec_id"), _matrix(X.column(mine, "vector"), scale)))
+                held.setdefault(key, []).append((X.longs(mine, "vec_id"), _matrix(X.column(mine, "vector"))))
         for (dim, shard), parts in sorted(held.items()):
             ids, vectors = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(ids, kind="stable")
             ids, vectors = ids[order], vectors[order]
-            cell = _saved(ids=ids, vectors=vectors, **ball_tree(vectors))
+            cell = _saved(ids=ids, vectors=vectors, **ball_tree(_floors(vectors, scale)[0]))
             yield pa.record_batch({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "cell": pa.array([cell], pa.binary())})
 
     return run
 
 
-def _blocks(scale: float):
+def _blocks():
     """Queries as one cell per block; a null k-th score is none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +187,7 @@ def _blocks(scale: float):
                     part = mine.slice(top, BLOCK)
                     floor = X.column(part, "kth").to_numpy(zero_copy_only=False).astype(np.float64)
                     cell = _saved(
-                        query=X.longs(part, "query"), own=X.longs(part, "vec_id"), q=_matrix(X.column(part, "vector"), scale),
+                        query=X.longs(part, "query"), own=X.longs(part, "vec_id"), q=_matrix(X.column(part, "vector")),
                         home=X.longs(part, "home", -1), floor=np.where(np.isnan(floor), -np.inf, floor),
                     )
                     yield pa.record_batch({"dim": pa.array([dim], pa.int32()), "cell": pa.array([cell], pa.binary())})
@@ -167,22 +195,28 @@ def _blocks(scale: float):
     return run
 
 
-def _visit(k: int, skip_home: bool):
+def _visit(k: int, skip_home: bool, scale: float):
     """Search the tree of each shard for the blocks that follow it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, at = None, None
+        tree, at, ints, up = None, None, None, 0
         for batch in batches:
             for i in range(batch.num_rows):
                 key = (X.column(batch, "dim")[i].as_py(), X.column(batch, "shard")[i].as_py())
                 cell = _loaded(X.column(batch, "cell")[i])
                 if not X.column(batch, "is_query")[i].as_py():
                     tree, at = cell, key
+                    ints, up = _floors(tree["vectors"], scale)
                     continue
                 if at != key:
                     continue
                 mine = np.flatnonzero(cell["home"] != key[1]) if skip_home else np.arange(len(cell["own"]))
-                score, best, scored = search(tree, tree["ids"], tree["vectors"], cell["q"][mine], cell["own"][mine], k, cell["floor"][mine])
+                raw = cell["q"][mine]
+                q, more = _floors(raw, scale)
+                score, best, scored = search(
+                    tree, tree["ids"], ints, q, cell["own"][mine], k, cell["floor"][mine], up + more,
+                    lambda asked, rows, raw=raw, tree=tree: _clipped(_whole(raw[asked], scale), _whole(tree["vectors"][rows], scale)),
+                )
                 row, place = np.nonzero(score.astype(np.float64) > -np.inf)
                 yield pa.record_batch(
                     {
@@ -199,8 +233,8 @@ def top_k(
 ) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): the ``k`` best candidates of each query, rank from 1 on.
 
-    Each component x becomes floor(scale * x), x as double, and a score is an integer inner product; ties go to the
-    smaller id. Queries are the rows for which ``queries`` holds; candidates are all rows but those of the query's id.
+    Each component x becomes floor(scale * x), x as double and ``scale`` a power of two, and a score is an integer inner
+    product, exact for all finite numbers; ties go to the smaller id. Queries are the rows for which ``queries`` holds; candidates are all rows but those of the query's id.
     A query with fewer candidates has fewer rows.
 
     Rows with a null id or vector, or with null or non-finite components, take no part. Vectors only meet those of
@@ -226,23 +260,23 @@ def top_k(
     def visited(blocks: DataFrame, skip_home: bool) -> DataFrame:
         rows = trees.withColumn("is_query", F.lit(False)).unionByName(blocks.withColumn("is_query", F.lit(True)))
         rows = rows.repartition(max(shards, parts), "dim", "shard").sortWithinPartitions("dim", "shard", "is_query")
-        return rows.mapInArrow(_visit(k, skip_home), result)
+        return rows.mapInArrow(_visit(k, skip_home, scale), result)
 
     # Each query's own shard first, by blocks of queries with the same one.
     at_home = asked.repartition(parts, "dim", "home").sortWithinPartitions("dim", "home")
-    home = stored(visited(at_home.mapInArrow(_home_blocks(scale), "dim int, shard int, cell binary"), False), "home")
+    home = stored(visited(at_home.mapInArrow(_home_blocks(), "dim int, shard int, cell binary"), False), "home")
     kth = home.groupBy("query").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("kth")).where(F.col("n") >= k)
     bounded = asked.drop("kth").join(kth.select("query", "kth"), "query", "left")
-    blocks = bounded.repartition(parts, "query").mapInArrow(_blocks(scale), "dim int, cell binary")
+    blocks = bounded.repartition(parts, "query").mapInArrow(_blocks(), "dim int, cell binary")
     everywhere = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     found = home.union(visited(everywhere, True))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _home_blocks(scale: float):
+def _home_blocks():
     """Blocks of queries that start in the same shard."""
-    cut = _blocks(scale)
+    cut = _blocks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

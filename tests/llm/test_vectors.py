@@ -99,6 +99,26 @@ def test_top_k(table, monkeypatch, shard, leaf):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+@pytest.mark.parametrize("shard", [4096, 8])
+def test_top_k_of_huge_components(spark, monkeypatch, shard):
+    """Finite components of any size: other rows keep their results, and huge products stop at the ends of a long."""
+    monkeypatch.setattr(topk, "SHARD", shard)
+    rng = np.random.default_rng(8)
+    rows = [(50 * i, rng.standard_normal(4).tolist()) for i in range(6)] + [(i, (rng.standard_normal(4) * 10.0 ** rng.integers(0, 25)).tolist()) for i in range(1, 30)]
+    rows += [(101, [1e306, 0.0, 0.0, 0.0]), (103, [-1e306, 1e306, 1.0, 0.0]), (400, [1.7e308, -1.7e308, 1.0, 2.0]), (450, [0.0, 0.0, 3.5, 1e160]), (451, [0.0] * 4), (500, [0.0] * 4)]
+
+    def whole(v):
+        return [int(x) * 256 if abs(x) >= 2.0**53 else math.floor(256 * x) for x in v]
+
+    want = []
+    for i, q in rows:
+        if i % 50 == 0:
+            scores = sorted((-max(-(1 << 63), min((1 << 63) - 1, sum(x * y for x, y in zip(whole(q), whole(c), strict=True)))), j) for j, c in rows if j != i)
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores[:5])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_tree_prunes():
     """On clustered vectors, a good bound leaves most leaves unopened."""
     random.seed(1)
