@@ -8,6 +8,7 @@ and the number of blanks before a hit is the place of its first word.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
@@ -162,6 +163,61 @@ def automaton(phrases: Mapping[str, tuple]):
     return found
 
 
+class Line:
+    """The tokens of one line, and for any place the longest valid expression that begins there, without reading on.
+
+    Whether two tokens may follow each other depends on them alone, so where the next misplaced token is and where a
+    bracket closes that was not opened are found for all places at once.
+    """
+
+    def __init__(self, text: str, start: int, end: int) -> None:
+        found = [(m.group(), m.start(), m.end()) for m in _TOKEN.finditer(text, start, end)]
+        self.tokens = [f[0] for f in found]
+        self.starts, self.ends = [f[1] for f in found], [f[2] for f in found]
+        n, depth = len(found), 0
+        self.depth = [depth := depth + (t == "(") - (t == ")") for t in self.tokens]
+        # The next place whose token may not follow the one before, and the next of smaller depth, after each place.
+        self.breaks, self.falls = [n] * (n + 1), [n] * (n + 1)
+        waiting: list[int] = []
+        for i in range(n - 1, -1, -1):
+            self.breaks[i] = i + 1 if i + 1 < n and not _may_follow(self.tokens[i], self.tokens[i + 1]) else self.breaks[i + 1]
+            while waiting and self.depth[waiting[-1]] >= self.depth[i]:
+                waiting.pop()
+            self.falls[i] = waiting[-1] if waiting else n
+            waiting.append(i)
+        self.first_fall = next((i for i, d in enumerate(self.depth) if d < 0), n)
+        # Where an expression may end, by depth.
+        self.closes: dict[int, list[int]] = {}
+        for i, t in enumerate(self.tokens):
+            if t != "(" and t not in _PRECEDENCE:
+                self.closes.setdefault(self.depth[i], []).append(i)
+
+    def expression(self, at: int) -> tuple[list[str], int]:
+        """The tokens of the longest valid expression that begins at a place, none if there is none, and where it ends."""
+        i = bisect.bisect_right(self.ends, at)
+        if i == len(self.tokens):
+            return [], at
+        first = self.tokens[i][max(0, at - self.starts[i]) :]
+        if first in _PRECEDENCE or first == ")":
+            return [], at
+        base = self.depth[i - 1] if i else 0
+        limit = min(self.breaks[i + 1] if i + 1 < len(self.tokens) else i + 1, self.falls[i - 1] if i else self.first_fall)
+        if i + 1 < len(self.tokens) and not _may_follow(first, self.tokens[i + 1]):
+            limit = i + 1
+        ends = self.closes.get(base, [])
+        last = bisect.bisect_left(ends, limit) - 1
+        # The first token may be the rest of an operator's word, and then closes what its word does not.
+        if last < 0 or ends[last] < i:
+            return ([first], self.ends[i]) if first != "(" and limit > i and self.depth[i] == base else ([], at)
+        return [first, *self.tokens[i + 1 : ends[last] + 1]], self.ends[ends[last]]
+
+
+def _may_follow(token: str, next_: str) -> bool:
+    """Whether an operator or closing bracket follows an operand or closing bracket, and an operand or opening one anything else."""
+    operand_next = token in _PRECEDENCE or token == "("
+    return operand_next != (next_ in _PRECEDENCE or next_ == ")")
+
+
 class Scanner:
     """Finds base phrases, notices and tagged expressions in one text at a time."""
 
@@ -172,15 +228,24 @@ class Scanner:
         self.tag = re.compile("|".join(r"[^a-z0-9]+".join(t.split()) for t in TAGS))
 
     def expressions(self, text: str) -> list[Expression]:
-        """The expressions behind the tags of a text; one reaches to the end of its line at most."""
-        lower, out, end = text.lower(), [], -1
+        """The expressions behind the tags of a text; one reaches to the end of its line at most.
+
+        A tag within an expression that is read already belongs to that one. A line of any length is tokenised once.
+        """
+        lower, out, end, line = text.lower(), [], -1, None
+        done = -1
         for hit in self.tag.finditer(lower):
             if end < hit.end():
                 end = lower.find("\n", hit.end())
-                end = end if end >= 0 else len(lower)
-            value, _ = evaluate(token[0] for token in _TOKEN.finditer(lower, hit.end(), end))
-            if value is not None:
+                end, line = end if end >= 0 else len(lower), None
+            if hit.start() < done:
+                continue
+            line = line or Line(lower, hit.end(), end)
+            tokens, stop = line.expression(hit.end())
+            if tokens:
+                value, _ = evaluate(tokens)
                 out.append(value)
+                done = stop
         return out
 
     def scan(self, data: bytes) -> tuple:

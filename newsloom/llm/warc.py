@@ -1,8 +1,8 @@
 """Web archives as seekable Zstandard bundles.
 
-Each record is a Zstandard frame of its own, so any reader can decode it alone, and all frames of a bundle are followed
-by a seek table: a skippable frame that lists the sizes of all frames. A record is found by its frame and its place in
-the frame, without reading what comes before.
+Records are grouped into Zstandard frames of about ``FRAME`` plain bytes, each of which decodes alone, and all frames of a
+bundle are followed by a seek table: a skippable frame that lists the sizes of all frames. An index maps the ids of
+records to their bundle, frame and offset within the frame, so a record is read by decoding its frame and no other.
 
 A bundle is a cell of a table in the folder all executors share, since only Spark's writers reach every store;
 ``bundle_files`` puts bundles into files where the folder is one that Arrow can open.
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ from newsloom.session import stored
 
 # Payload bytes of a bundle; a larger record is a bundle of its own.
 BUNDLE = 1 << 24
+# Plain bytes that the records of a frame have together; a larger record is a frame of its own.
+FRAME = 1 << 18
 
 # Fixed values of the seekable format: the skippable frame's number, the footer's number.
 _SKIPPABLE = 0x184D2A5E
@@ -90,21 +93,22 @@ def _bundle(level: int, size: int, frame: int):
         import zstandard
 
         packer = zstandard.ZstdCompressor(level=level, write_content_size=True)
-        parts, frames, index, open_, held = [], [], [], b"", 0
+        parts, frames, index, open_, held = [], [], [], bytearray(), 0
+        number = TaskContext.get().partitionId() << 32
 
         def close_frame() -> None:
-            nonlocal open_
             if open_:
-                parts.append(packer.compress(open_))
+                parts.append(packer.compress(bytes(open_)))
                 frames.append((len(parts[-1]), len(open_)))
-                open_ = b""
+                open_.clear()
 
         def close() -> pa.RecordBatch:
-            nonlocal parts, frames, index, held
+            nonlocal parts, frames, index, held, number
             close_frame()
             ids, at, offsets, lengths = zip(*index, strict=True)
             out = pa.record_batch(
                 {
+                    "number": pa.array([number], pa.int64()),
                     "bundle": pa.array([b"".join(parts) + seek_table(frames)], pa.binary()),
                     "ids": pa.array([ids], pa.list_(pa.int64())),
                     "frames": pa.array([at], pa.list_(pa.int32())),
@@ -112,7 +116,7 @@ def _bundle(level: int, size: int, frame: int):
                     "lengths": pa.array([lengths], pa.list_(pa.int64())),
                 }
             )
-            parts, frames, index, held = [], [], [], 0
+            parts, frames, index, held, number = [], [], [], 0, number + 1
             return out
 
         for batch in X.slices(batches, "payload"):
@@ -131,13 +135,13 @@ def _bundle(level: int, size: int, frame: int):
     return run
 
 
-def write_bundles(records: DataFrame, level: int = 3, size: int = BUNDLE, frame: int = 0) -> DataFrame:
+def write_bundles(records: DataFrame, level: int = 3, size: int = BUNDLE, frame: int = FRAME) -> DataFrame:
     """Write records to bundles in the shared folder, and return the stored table.
 
-    Rows (bundle, ids, frames, offsets, lengths): the archive, and for each of its records the id, the frame, and the
-    place in that frame. ``frame`` is the plain size up to which records share a frame; by default each has its own.
+    Rows (number, bundle, ids, frames, offsets, lengths): the archive, and for each of its records the id, the frame, and
+    the place in that frame. ``frame`` is the plain size up to which records share a frame; with 0 each has its own.
     """
-    schema = "bundle binary, ids array<long>, frames array<int>, offsets array<long>, lengths array<long>"
+    schema = "number long, bundle binary, ids array<long>, frames array<int>, offsets array<long>, lengths array<long>"
     return stored(records.mapInArrow(_bundle(level, size, frame), schema), "bundles")
 
 
@@ -151,17 +155,46 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[: int(fields["content-length"])]
 
 
+def read_frame(bundle: bytes, table: np.ndarray, frame: int) -> bytes:
+    """The plain bytes of one frame; no other is decoded."""
+    import zstandard
+
+    start, packed, size = table[frame].tolist()
+    return zstandard.ZstdDecompressor().decompress(bundle[start : start + packed], max_output_size=size)
+
+
+def record_index(bundles: DataFrame) -> DataFrame:
+    """Rows (page_id, number, frame, offset, length), one per record, stored in the order of ids apart from the archives."""
+    places = F.explode(F.arrays_zip("ids", "frames", "offsets", "lengths")).alias("r")
+    rows = bundles.select("number", places).select(
+        F.col("r.ids").alias("page_id"), "number", F.col("r.frames").alias("frame"), F.col("r.offsets").alias("offset"), F.col("r.lengths").alias("length")
+    )
+    return stored(rows.repartitionByRange("page_id", "number", "frame", "offset").sortWithinPartitions("page_id"), "index")
+
+
+def find_records(bundles: DataFrame, index: DataFrame, ids: DataFrame, id_column: str = "page_id") -> DataFrame:
+    """The records of some ids, in the columns of ``read_bundles``.
+
+    The index tells the places of each id; bundles without any are not read further than their number, and of the
+    others only the frames that hold a wanted record are decoded. Ids without a record give no row, a repeated id or
+    one of several records gives each record once.
+    """
+    wanted = ids.select(F.col(f"`{id_column}`").cast("long").alias("of")).where("of is not null").distinct()
+    places = index.join(wanted, index["page_id"] == wanted["of"]).groupBy("number").agg(F.sort_array(F.collect_list(F.struct("frame", "offset", "length", "page_id"))).alias("p"))
+    some = bundles.select("number", "bundle").join(places, "number").select(
+        "bundle", F.col("p.page_id").alias("ids"), F.col("p.frame").alias("frames"), F.col("p.offset").alias("offsets"), F.col("p.length").alias("lengths")
+    )
+    return read_bundles(some)
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every record of each bundle, found by its frame and offset."""
     import base64
     import hashlib
 
-    import zstandard
-
     names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload")
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
     number = lambda s: int(s[10:-1]) if len(s) > 11 else None
-    unpacker = zstandard.ZstdDecompressor()
     for batch in batches:
         for i in range(batch.num_rows):
             bundle = X.column(batch, "bundle")[i].as_buffer().to_pybytes()
@@ -169,8 +202,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cells = (X.column(batch, c)[i].as_py() for c in ("ids", "frames", "offsets", "lengths"))
             for page, frame, offset, length in zip(*cells, strict=True):
                 if frame != last:
-                    start, packed, size = table[frame].tolist()
-                    last, plain = frame, unpacker.decompress(bundle[start : start + packed], max_output_size=size)
+                    last, plain = frame, read_frame(bundle, table, frame)
                 fields, body = parse_record(plain[offset : offset + length])
                 digest = fields["warc-payload-digest"].removeprefix("sha1:")
                 if number(fields["warc-record-id"]) != page:

@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import random
 import re
+import time
 
 import zstandard
 
@@ -139,3 +141,55 @@ def test_valid_beginnings():
         for tokens in itertools.product(["mit", "or", "(", ")"], repeat=n):
             want = max((k for k in range(n + 1) if parse(tokens[:k])), default=0)
             assert licenses.evaluate(list(tokens))[1] == want, tokens
+
+
+def test_expressions_equal_reading_on_from_each_tag():
+    """Against ``evaluate``, which reads the rest of the line from each tag that is in no expression yet."""
+    rng = random.Random(4)
+    scanner = licenses.Scanner(licenses.BASE_PHRASES, licenses.NOTICE_PHRASES)
+    pieces = ["mit", "and", "or", "with", "(", ")", "gpl-3.0", "license-expression", "license-expression-", "license expression: ", "license-expressionor", "x", "\n", "(", "and", "or"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) + rng.choice([" ", " ", ""]) for _ in range(rng.randint(1, 25)))
+        want, done = [], -1
+        for hit in scanner.tag.finditer(text):
+            end = text.find("\n", hit.end())
+            end = len(text) if end < 0 else end
+            if hit.start() < done:
+                continue
+            tokens = list(licenses._TOKEN.finditer(text, hit.end(), end))
+            value, n = licenses.evaluate(t[0] for t in tokens)
+            if value is not None:
+                want.append(value)
+                done = tokens[n - 1].end()
+        assert scanner.expressions(text) == want, text
+
+
+def test_a_long_line_is_read_once():
+    scanner = licenses.Scanner(licenses.BASE_PHRASES, licenses.NOTICE_PHRASES)
+    for text in ("license-expression-mit and " * 40_000, "license-expression-mit and ( " * 40_000, "license-expression(mit and " * 40_000):
+        began = time.process_time()
+        scanner.scan(text.encode())
+        assert time.process_time() - began < 10
+
+
+def test_records_share_frames_and_are_found_by_their_ids(spark, monkeypatch):
+    """A lookup decodes the frame of its record and no other: all other frames may be damaged."""
+    html = ["".join(random.Random(i).choices("abc <p>", k=3000)) for i in range(400)]
+    rows = [(i, f"http://h/{i}", h) for i, h in enumerate(html)] + [(900, "u", html[7]), (None, "u", "x" * 400_000)]
+    bundles = warc.archive_pages(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
+    first = bundles.orderBy("number").first()
+    assert max(first.offsets) > 0 and 1 < len(set(first.frames)) < 20
+    index = warc.record_index(bundles)
+    assert index.count() == 402
+    ids = spark.createDataFrame([(5,), (399,), (7,), (5,), (12345,), (None,)], "page_id long")
+    got = {r.page_id: r for r in warc.find_records(bundles, index, ids).collect()}
+    assert set(got) == {5, 7, 399} and got[5].payload.decode() == html[5] and (got[7].record_type, got[7].refers_to) == ("revisit", 900)
+
+    place = index.where("page_id = 150").first()
+    archive = next(r for r in bundles.collect() if r.number == place.number)
+    table = warc.read_seek_table(bytes(archive.bundle))
+    start, packed, _ = table[place.frame].tolist()
+    end = int(table[-1][0] + table[-1][1])
+    damaged = bytes(start) + bytes(archive.bundle)[start : start + packed] + bytes(end - start - packed) + bytes(archive.bundle)[end:]
+    plain = warc.read_frame(damaged, table, place.frame)
+    assert warc.parse_record(plain[place.offset : place.offset + place.length])[1].decode() == html[150]
