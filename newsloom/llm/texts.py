@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 # Bytes of text that a worker turns into arrays at a time; a longer text is a slice of its own.
 SLICE = 1 << 18
-# Rows of an Arrow batch: texts are long, and a batch is held by Spark and by the worker, more than once.
+# Rows and bytes of an Arrow batch: texts are long, and a batch is held by Spark and by the worker, more than once.
 BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -40,8 +41,12 @@ def kept_in_process(name: str, make: Callable[[], object]) -> object:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """From now on, batches of this session have few rows. Results do not depend on it."""
+    """From now on, batches of this session have few rows and bytes. Results do not depend on it.
+
+    Plans are run after their operator has returned, so the setting stays; it is one of the session's, not of the cluster's.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def only(df: DataFrame, id_column: str, text: str, *more: str) -> DataFrame:
