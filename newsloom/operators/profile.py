@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,34 +33,36 @@ def _text(df: DataFrame, name: str):
     return F.to_json(F.col(name)) if nested else F.col(name).cast("string")
 
 
-def schema_profile(df: DataFrame, seq: str = "_seq") -> DataFrame:
-    """Per column: name, type, whether it has nulls, and its first two different values.
+def schema_profile(df: DataFrame, seq: str = "_seq", sample_size: int = 2, normalize_types: bool = True) -> DataFrame:
+    """Per column: name, type, whether it has nulls, and its first ``sample_size`` different values (``example_1`` on).
 
-    Two aggregates over the table with one row each: the second looks past the first example,
-    which reaches it as a scalar subquery. Without an ordinal column the smallest values are shown.
+    Each aggregate over the table has one row; the one for the n-th example looks past those before, which reach it as
+    scalar subqueries, so there is a scan for each example. Without an ordinal column the smallest values are shown.
+    Types have engine-neutral names, or Spark's own without ``normalize_types``.
     """
     names = [c for c in df.columns if c != seq]
     ordinal = [F.col(seq).alias("_o")] if seq in df.columns else []
     texts = df.select(*ordinal, *[_text(df, c).alias(c) for c in names])
+    earlier: list[Column] = []
 
-    def first_where(c: str, condition):
-        return F.min_by(c, F.when(condition, F.col("_o" if ordinal else c)))
+    def example(i: int, c: str, past: int) -> Column:
+        """The first value that is none of the first ``past`` examples; without so many there is none."""
+        different = F.col(c).isNotNull()
+        for found in earlier[:past]:
+            different &= F.col(c) != found[f"c{i}"]
+        return F.min_by(c, F.when(different, F.col("_o" if ordinal else c)))
 
-    firsts = texts.agg(
-        F.struct(
-            *[first_where(c, F.col(c).isNotNull()).alias(f"c{i}") for i, c in enumerate(names)]
-        )
-    ).scalar()
+    for n in range(sample_size - 1):
+        earlier.append(texts.agg(F.struct(*[example(i, c, n).alias(f"c{i}") for i, c in enumerate(names)])).scalar())
     summary = texts.agg(
         F.array(
             *[
                 F.struct(
                     F.lit(i).alias("position"),
                     F.lit(c).alias("name"),
-                    F.lit(_type_name(df.schema[c].dataType)).alias("type"),
+                    F.lit(_type_name(df.schema[c].dataType) if normalize_types else df.schema[c].dataType.simpleString()).alias("type"),
                     (F.count_if(F.col(c).isNull()) > 0).alias("nullable"),
-                    first_where(c, F.col(c).isNotNull()).alias("example_1"),
-                    first_where(c, F.col(c) != firsts[f"c{i}"]).alias("example_2"),
+                    *[example(i, c, n).alias(f"example_{n + 1}") for n in range(sample_size)],
                 )
                 for i, c in enumerate(names)
             ]

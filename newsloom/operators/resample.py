@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.lookup import let
 from newsloom.functions.parse import after_last, list_of, with_lists
 from newsloom.operators.validate import require_columns
+from newsloom.session import scratch_path, stored
 
 # Names of the frequencies and the interval each stands for.
 FREQUENCIES = {"D": "1 day", "h": "1 hour"}
@@ -125,3 +126,48 @@ def pivot_scores(series: DataFrame, tickers: Sequence[str] | None = None) -> Dat
     """
     by_bucket = series.groupBy("bucket").pivot("ticker", sorted(tickers) if tickers else None)
     return by_bucket.agg(F.first("score"))
+
+
+def write_wide(series: DataFrame, path: str, width: int = 1000) -> list[str]:
+    """The wide form of any number of tickers, as tables of up to ``width`` ticker columns each; their paths.
+
+    Tickers are dealt to blocks by name. One shuffle brings the scores of a bucket and block together; each block is then
+    one scan of its own folder, and has every bucket, as a wide table would. A column for each ticker is what the driver
+    has to name, so the names are all that it holds.
+    """
+    spark = series.sparkSession
+    names = [r.ticker for r in series.where("ticker is not null").select("ticker").distinct().orderBy("ticker").toLocalIterator()]
+    if "bucket" in names:
+        raise ValueError("a ticker named bucket cannot be a column beside the buckets")
+    blocks = [names[i : i + width] for i in range(0, len(names), width)]
+    first = F.array(*[F.lit(b[0]) for b in blocks]).cast("array<string>")
+    block = F.size(F.filter(first, lambda f: f <= F.col("ticker"))) - 1
+    dealt = series.where("ticker is not null").withColumn("_block", block)
+    # Of several scores of a bucket and ticker, the wide form has one; the smallest, so that reruns agree.
+    single = dealt.groupBy("bucket", "_block", "ticker").agg(F.min("score").alias("score"))
+    maps = single.groupBy("bucket", "_block").agg(F.map_from_entries(F.collect_list(F.struct("ticker", "score"))).alias("scores"))
+    folder = scratch_path(spark, "wide")
+    maps.write.partitionBy("_block").parquet(folder)
+    buckets = stored(series.select("bucket").distinct(), "buckets")
+    paths = []
+    for i, tickers in enumerate(blocks):
+        scores = spark.read.schema(maps.schema).parquet(folder).where(F.col("_block") == i)
+        wide = buckets.join(scores.drop("_block"), "bucket", "left")
+        columns = [F.try_element_at("scores", F.lit(t)).alias(t) for t in tickers]
+        paths.append(f"{path}/block={i:05d}")
+        wide.select("bucket", *columns).write.mode("errorifexists").parquet(paths[-1])
+    return paths
+
+
+def read_wide(spark: SparkSession, paths: Sequence[str], tickers: Sequence[str]) -> DataFrame:
+    """Some tickers out of the blocks of ``write_wide``: only the blocks and columns that hold them are read."""
+    out = None
+    for path in paths:
+        table = spark.read.parquet(path)
+        wanted = [t for t in tickers if t in table.columns and t != "bucket"]
+        if wanted:
+            part = table.select("bucket", *[F.col(f"`{t}`") for t in wanted])
+            out = part if out is None else out.join(part, "bucket")
+    if out is None:
+        raise KeyError(f"no such tickers: {list(tickers)}")
+    return out.select("bucket", *[F.col(f"`{t}`") for t in tickers])

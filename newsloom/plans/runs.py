@@ -22,13 +22,18 @@ from newsloom.functions.parse import (
 )
 from newsloom.functions.text import Lexicon, article_score, keyword_tickers, sentiment_label
 from newsloom.operators.merge import (
-    SEQ, append_distinct, best_row_merge, term_union, union_sources, upsert,
+    SEQ, best_row_merge, term_union, union_sources,
 )
 from newsloom.operators.resample import resample_scores
-from newsloom.operators.semantic import Encoder, hashed_terms, semantic_clean
+from newsloom.operators.semantic import Encoder, clean_pieces, semantic_clean
 from newsloom.operators.validate import require_columns
 from newsloom.session import stored
-from newsloom.sources.files import read_snapshot, write_layer, write_snapshot
+from newsloom.sources.files import write_layer
+from newsloom.sources.tables import append_main, upsert_main
+
+
+# Characters of a URL's descriptions, all together, that may meet in one cell before similar sentences are dropped.
+LARGE_TEXT = 16_000_000
 
 
 def select_common(df: DataFrame, source: str) -> DataFrame:
@@ -109,16 +114,34 @@ def merge_clean(
     union: DataFrame,
     lexicon: Lexicon,
     threshold: float = 0.9,
-    encode: Encoder = hashed_terms,
+    *,
+    encode: Encoder,
     ranks: Mapping[str, int] = SOURCE_RANK,
+    large_text: int = LARGE_TEXT,
 ) -> DataFrame:
     """One row per URL with a joined description free of similar sentences, scored again.
 
-    The merged rows are stored once, because finding and dropping similar sentences both read them.
+    The merged rows are stored once, because finding and dropping similar sentences both read them. Descriptions of a URL
+    that have more than ``large_text`` characters in all are not joined before similar sentences are gone: they stay
+    rows, in as many tasks as they need, and only what is left meets in one cell. The table should be stored, or cheap
+    to read, as lengths are counted first.
     """
-    merged = stored(best_row_merge(union, ranks=ranks), "merged")
-    cleaned = semantic_clean(merged, threshold=threshold, encode=encode)
-    return rescore(cleaned, "was_merged", lexicon).drop("was_merged", "removed_sent_count")
+    size = union.where(F.col("url").isNotNull()).groupBy("url").agg(F.sum(F.length("description")).alias("n"), F.count("description").alias("texts"))
+    large = stored(size.where((F.col("n") > large_text) & (F.col("texts") > 1)).select("url"), "large")
+    if large.isEmpty():
+        merged = stored(best_row_merge(union, ranks=ranks), "merged")
+        cleaned = semantic_clean(merged, threshold=threshold, encode=encode)
+        return rescore(cleaned, "was_merged", lexicon).drop("was_merged", "removed_sent_count")
+    union = stored(union, "union")
+    merged = stored(best_row_merge(union.join(large, "url", "left_anti").select(union.columns), ranks=ranks), "merged")
+    cleaned = semantic_clean(merged, threshold=threshold, encode=encode).drop("removed_sent_count")
+    rows = union.join(large, "url", "left_semi").select(union.columns)
+    # Without their texts, rows of any number are reduced before they are shuffled.
+    bare = best_row_merge(rows.withColumn("description", F.lit(None).cast("string")), ranks=ranks).drop("description")
+    texts = clean_pieces(rows, "url", SEQ, "description", threshold, encode=encode)
+    bare = bare.withColumn("was_merged", F.lit(True)).join(texts.select("url", F.col("_text").alias("description")), "url", "left")
+    bare = bare.withColumn("description", F.coalesce("description", F.lit("")))
+    return rescore(cleaned.unionByName(bare.select(cleaned.columns)), "was_merged", lexicon).drop("was_merged")
 
 
 def ordered_union(tables: Sequence[DataFrame], columns: Sequence[str] = COMMON_COLUMNS) -> DataFrame:
@@ -146,13 +169,13 @@ def run_source(
     resample: bool = True,
     keywords: Mapping[str, Sequence[str]] = TICKER_KEYWORDS,
 ) -> dict[str, str]:
-    """From raw rows to the clean, processed and resampled layers of a source."""
+    """From raw rows to the clean, processed and resampled layers of a source, by name; main tables are read by ``read_snapshot``."""
     spark, name_of = raw.sparkSession, "link" if source == SOURCE_B else "url"
 
     def update_main(batch: DataFrame, layer: str, key: str) -> str:
         path = f"{root}/{layer}/{source}/main"
-        main = read_snapshot(spark, path)
-        return write_snapshot(upsert(batch, main, key, main_is_unique=True).drop(SEQ), path, ("datetime", key))
+        upsert_main(batch, path, key)
+        return path
 
     stamp = f"batch-{uuid.uuid4().hex}"
     out = {"clean": write_layer(term_union(raw, name_of), f"{root}/clean/{source}/{stamp}", ("datetime", name_of))}
@@ -177,7 +200,6 @@ def run_merge(tables: Sequence[DataFrame], root: str, lexicon: Lexicon, **option
     cleaned = merge_clean(ordered_union(tables), lexicon, **options).select(MERGED_COLUMNS)
     stamp = f"batch-{uuid.uuid4().hex}"
     out = {"merged": write_layer(cleaned, f"{root}/merged/{stamp}", ("datetime", "url"))}
-    main = f"{root}/merged/main"
-    new = append_distinct(spark.read.parquet(out["merged"]), read_snapshot(spark, main))
-    out["merged_main"] = write_snapshot(new, main, ("datetime", "url"))
+    out["merged_main"] = f"{root}/merged/main"
+    append_main(spark.read.parquet(out["merged"]), out["merged_main"], ("datetime", "url"))
     return out

@@ -1,9 +1,8 @@
-"""CSV exchange files, Parquet layers and snapshot tables."""
+"""CSV exchange files and Parquet layers; snapshot tables are in ``tables``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,27 +13,39 @@ from newsloom.operators.merge import sorted_layer
 from newsloom.operators.profile import schema_profile, version_span
 from newsloom.operators.validate import require_columns, require_rows
 from newsloom.session import stored
+from newsloom.sources.ranges import CsvFiles, split_fields, zip_headers, zip_records
+from newsloom.sources.tables import read_snapshot, snapshots, write_snapshot  # noqa: F401
 
 _CSV = {
     "header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
-_COMPRESSIONS = ("gz", "bz2")
-# Different headers in one folder; each one is a scan of its own.
-MAX_HEADERS = 1000
+_FILES = "*.{csv,csv.gz,csv.bz2}"
+# Files beyond this many bytes are read by ranges, where their codec can be split.
+LARGE_FILE = 256 << 20
 
 
 def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], strict: bool = False
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], strict: bool = False, by_ranges: bool | None = None
 ) -> DataFrame:
     """CSV (plain, gzip or bzip2) as text columns, with nothing between commas or quotes as null.
 
     ``datetime`` is parsed, bad values to null unless ``strict``. CSV cannot hold lists, so list
-    columns come back as text.
+    columns come back as text. As values may hold line breaks, Spark's reader takes a file as one task; files of more
+    than ``LARGE_FILE`` bytes are read by many tasks (``by_ranges``; by default their sizes decide).
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.options(**_CSV).schema(schema).csv(paths if isinstance(paths, str) else list(paths))
-    df = df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if by_ranges is None:
+        largest = spark.read.format("binaryFile").load(paths).where(~F.col("path").endswith(".gz")).agg(F.max("length")).first()[0]
+        by_ranges = (largest or 0) > LARGE_FILE
+    if by_ranges:
+        kind = ", ".join(f"`{c}` string" for c in columns)
+        options = {k: v for k, v in _CSV.items() if k not in ("header", "encoding")}
+        df = CsvFiles(spark, paths).records.select(F.from_csv("record", kind, options).alias("r")).select("r.*")
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        df = spark.read.options(**_CSV).schema(schema).csv(paths)
+    df = df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
     if "datetime" in columns:
         df = df.withColumn("datetime", parse_ts(F.col("datetime"), strict))
     return df
@@ -75,13 +86,12 @@ def write_csv(
     return path
 
 
-def write_schema(df: DataFrame, path: str, schema_format: str = "yaml") -> str:
+def write_schema(df: DataFrame, path: str, schema_format: str = "yaml", sample_size: int = 2, normalize_types: bool = True) -> str:
     """Write the schema profile of a table as YAML or JSON lines: one entry per column."""
     target = f"{path}.schema.{schema_format}"
-    columns = schema_profile(df).orderBy("position").select(
-        "name", "type", "nullable",
-        F.filter(F.array("example_1", "example_2"), lambda x: x.isNotNull()).alias("examples"),
-    )
+    examples = F.array(*[F.col(f"example_{n + 1}") for n in range(sample_size)]).cast("array<string>")
+    profile = schema_profile(df, sample_size=sample_size, normalize_types=normalize_types).orderBy("position")
+    columns = profile.select("name", "type", "nullable", F.filter(examples, lambda x: x.isNotNull()).alias("examples"))
     if schema_format == "json":
         columns.coalesce(1).write.json(target)
     elif schema_format == "yaml":
@@ -96,33 +106,36 @@ def write_schema(df: DataFrame, path: str, schema_format: str = "yaml") -> str:
 def _listing(spark: SparkSession, folder: str, exclude: str | None) -> DataFrame:
     """Files of a folder that are CSV by name, with their compression."""
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    kind = F.regexp_extract(name, r"\.csv(?:\.(gz|bz2))?$", 1)
+    kind = F.regexp_extract(name, r"\.csv(?:\.(gz|bz2|zip))?$", 1)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{csv,csv.gz,csv.bz2}")
+        .option("pathGlobFilter", "*.{csv,csv.gz,csv.bz2,csv.zip}")
         .load(folder)
         .select("path", name.alias("file"), kind.alias("kind"))
     )
     files = files.withColumn(
         "compression", F.when(F.col("kind") == "", "uncompressed").otherwise(F.concat(F.lit("."), "kind"))
     ).drop("kind")
-    if exclude:
-        files = files.where(~F.regexp_replace("file", r"\.[^.]*$", "").contains(exclude))
-    return files
+    return files.where(_included(F.col("file"), exclude))
+
 
+def _included(file: Column, exclude: str | None) -> Column:
+    """Whether a file's name, without what follows its last dot, is free of ``exclude``."""
+    return ~F.regexp_replace(file, r"\.[^.]*$", "").contains(exclude) if exclude else F.lit(True)
 
-def _headers(spark: SparkSession, folder: str) -> DataFrame:
-    """First line of every readable file."""
+
+def _readable(spark: SparkSession, folder: str) -> DataFrame:
+    """Every file that is no archive and has a readable line."""
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .option("ignoreCorruptFiles", "true")
-        .option("pathGlobFilter", "*.{csv,csv.gz,csv.bz2}")
+        .option("pathGlobFilter", _FILES)
         .text(folder)
         .where("_metadata.file_block_start = 0")
-        .select("_metadata.file_path", F.monotonically_increasing_id().alias("line"), "value")
+        .select(F.col("_metadata.file_path").alias("path"))
     )
-    return lines.groupBy(F.col("file_path").alias("path")).agg(F.min_by("value", "line").alias("header"))
+    return lines.distinct()
 
 
 def folder_scan(
@@ -131,39 +144,53 @@ def folder_scan(
     common_columns: Sequence[str] | None = None,
     exclude: str | None = None,
 ) -> DataFrame:
-    """Union of all CSV files of a folder, which may have different columns.
+    """Union of all CSV files of a folder, plain, gzip, bzip2 or zip, which may have different columns.
 
-    Files with the same header are read by one scan, given as a list of paths as Spark's own file
-    index would hold it. Unreadable files are skipped; no file at all gives an empty table.
+    All files are read by the same scans, however many headers there are; each record finds its columns by its file's
+    header. Of ``common_columns``, those that some file has come back; without, all columns do. Unreadable files are
+    skipped; no file at all gives an empty table.
     """
-    files = _headers(spark, folder).join(_listing(spark, folder, exclude), "path", "left_semi")
-    groups = files.groupBy("header").agg(F.collect_list("path").alias("paths"))
-    found = groups.orderBy("header").take(MAX_HEADERS + 1)
-    if len(found) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers in {folder}")
-    tables = []
-    for header, paths in found:
-        columns = [c.strip('"') for c in header.split(",")]
-        table = read_csv(spark, paths, columns)
-        wanted = [c for c in columns if common_columns is None or c in common_columns]
-        tables.append(table.select(*wanted))
-    if not tables:
+    options = {"recursiveFileLookup": "true", "ignoreCorruptFiles": "true", "pathGlobFilter": _FILES}
+    files = CsvFiles(spark, [folder], included=lambda name: _included(name, exclude), **options)
+    plain = files.headers.select("path", split_fields(F.regexp_replace("header", "^\ufeff", "")).alias("names"))
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    zipped = zip_headers(spark, folder).where(F.col("names").isNotNull() & _included(name, exclude)).select("path", "names")
+    plain, zipped = stored(plain, "headers"), stored(zipped, "headers")
+    known = plain.union(zipped).select(F.array_join("names", ",").alias("header"), F.posexplode("names").alias("at", "name"))
+    if common_columns is not None:
+        known = known.where(F.col("name").isin(list(common_columns)))
+    found = [r.name for r in known.groupBy("name").agg(F.min(F.struct("header", "at")).alias("at")).orderBy("at").select("name").collect()]
+    columns = found if common_columns is None else [c for c in common_columns if c in found]
+    if not columns:
         names = common_columns or []
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in names]))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    rows = files.records.select("path", split_fields(F.col("record")).alias("values")).join(plain, "path")
+    values = [F.get("values", F.array_position("names", F.lit(c)).cast("int") - 1) for c in columns]
+    rows = rows.select(*[F.nullif(v, F.lit("")).alias(c) for v, c in zip(values, columns)])
+    members = zip_records(spark, folder, columns).where("values is not null").join(zipped, "path", "left_semi")
+    members = members.select(*[F.nullif(F.get("values", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(columns)])
+    return rows.union(members)
+
+
+def folder_files(spark: SparkSession, folder: str, exclude: str | None = None) -> DataFrame:
+    """Rows (file, compression, loaded, error), one for each CSV file of a folder; ``error`` says why one is skipped.
+
+    Spark does not list files without any bytes, so they are neither loaded nor skipped.
+    """
+    files = _listing(spark, folder, exclude)
+    plain = _readable(spark, folder).select("path", F.lit(True).alias("loaded"), F.lit(None).cast("string").alias("error"))
+    zipped = zip_headers(spark, folder).select("path", F.col("names").isNotNull().alias("loaded"), "error")
+    loaded = F.coalesce("loaded", F.lit(False))
+    error = F.when(~loaded, F.coalesce("error", F.lit("empty, or no readable line")))
+    return files.join(plain.union(zipped), "path", "left").select("file", "compression", loaded.alias("loaded"), error.alias("error"))
 
 
 def folder_summary(spark: SparkSession, folder: str, exclude: str | None = None) -> DataFrame:
     """Loaded and skipped files per compression."""
-    files = _listing(spark, folder, exclude)
-    loaded = _headers(spark, folder).select("path", F.lit(True).alias("loaded"))
     return (
-        files.join(loaded, "path", "left")
+        folder_files(spark, folder, exclude)
         .groupBy("compression")
-        .agg(
-            F.count("loaded").alias("loaded_files"),
-            F.count_if(F.col("loaded").isNull()).alias("skipped_files"),
-        )
+        .agg(F.count_if("loaded").alias("loaded_files"), F.count_if(~F.col("loaded")).alias("skipped_files"))
     )
 
 
@@ -175,33 +202,3 @@ def write_layer(df: DataFrame, path: str, order: Sequence[str] = ("datetime",))
     df = stored(df, "layer")
     sorted_layer(require_rows(df, path), *order).write.mode("errorifexists").parquet(path)
     return path
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
-def snapshots(spark: SparkSession, path: str) -> list[str]:
-    """Complete snapshots of a table, oldest first. All but the last one are its backups."""
-    fs, root = _hadoop_path(spark, path)
-    if not fs.exists(root):
-        return []
-    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory())
-    done = [f"{path}/{n}" for n in names if n.startswith("snapshot=")]
-    return [p for p in done if fs.exists(_hadoop_path(spark, f"{p}/_SUCCESS")[1])]
-
-
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete snapshot, or None."""
-    found = snapshots(spark, path)
-    return spark.read.parquet(found[-1]) if found else None
-
-
-def write_snapshot(df: DataFrame, path: str, order: Sequence[str] = ("datetime",)) -> str:
-    """Write the next snapshot; earlier ones, which ``df`` may read from, stay as they are."""
-    found = snapshots(df.sparkSession, path)
-    number = int(found[-1].rsplit("=", 1)[1]) + 1 if found else 1
-    target = f"{path}/snapshot={number:08d}"
-    sorted_layer(stored(df, "snapshot"), *order).write.mode("overwrite").parquet(target)
-    return target

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from newsloom.operators import resample as R
 
@@ -86,3 +87,21 @@ def test_pivot(spark):
     assert wide.columns == ["bucket", "A", "B"]
     assert sorted(map(tuple, wide.collect())) == [(day(1), 0.5, 0.5), (day(2), None, None), (day(3), None, 0.2)]
     assert R.pivot_scores(R.resample_scores(df), ["B"]).columns == ["bucket", "B"]
+
+
+def test_thirty_thousand_tickers_in_blocks(spark, tmp_path):
+    series = spark.range(90_000).select(
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval((F.col("id") % 3).cast("int"))).alias("bucket"),
+        F.concat(F.lit("T"), F.lpad((F.col("id") % 30_000).cast("string"), 5, "0")).alias("ticker"), F.col("id").cast("double").alias("score"),
+    )
+    paths = R.write_wide(series, str(tmp_path / "wide"), width=7500)
+    assert len(paths) == 4
+    for path in paths:
+        table = spark.read.parquet(path)
+        assert len(table.columns) == 7501 and table.count() == 3
+    some = R.read_wide(spark, paths, ["T29999", "T00000", "T07500"]).orderBy("bucket").collect()
+    want = {(i % 3, i % 30_000): float(i) for i in range(90_000)}
+    assert [(r.T29999, r.T00000, r.T07500) for r in some] == [tuple(want.get((d, t)) for t in (29_999, 0, 7500)) for d in range(3)]
+    with pytest.raises(KeyError):
+        R.read_wide(spark, paths, ["nowhere"])
+    assert R.write_wide(series.limit(0), str(tmp_path / "none")) == []

@@ -7,6 +7,7 @@ from newsloom.dictionaries import MERGED_COLUMNS, SOURCE_A, SOURCE_B
 from newsloom.functions.text import Lexicon
 from newsloom.plans import runs
 from newsloom.sources.files import read_snapshot
+from newsloom.workload.fixture import hashed_terms
 
 LEXICON = Lexicon({"good": 1.9, "bad": -2.5})
 T0 = dt.datetime(2024, 1, 1, 10)
@@ -56,8 +57,8 @@ def test_source_and_merge_runs(spark, tmp_path):
     }
 
     for _ in range(2):  # the second time nothing new is added
-        out = runs.run_merge([main_a, main_b], root, LEXICON)
-        merged = spark.read.parquet(out["merged_main"])
+        out = runs.run_merge([main_a, main_b], root, LEXICON, encode=hashed_terms)
+        merged = read_snapshot(spark, out["merged_main"])
         assert merged.columns == MERGED_COLUMNS
         got = {r.url: r for r in merged.collect()}
         assert sorted(got) == ["u0", "u1", "u9"] and merged.count() == 3
@@ -82,3 +83,16 @@ def test_transform_without_scores(spark):
     assert (row.category, row.ticker_names, row.authors) == (["tech"], ["BTC"], ["me"])
     with pytest.raises(KeyError):
         runs.transform_a(rows_a(spark, ["good"]).drop("topics"), None)
+
+
+def test_a_url_with_more_text_than_a_task_may_hold(spark):
+    """Its descriptions are never joined before similar sentences are gone."""
+    rows = [(f"u{i % 2}", f"Sentence {i % 50} is here. And one", "alpha_vantage", T0, i) for i in range(400)]
+    rows += [("v", "Alone. Alone.", "newsdata", T0, 1), ("w", None, "newsdata", T0, 1), ("w", None, "newsdata", T0, 2)]
+    df = spark.createDataFrame(rows, "url string, description string, data_source string, datetime timestamp_ntz, _seq long")
+    df = df.withColumns({c: F.lit("x") for c in ("title",)}).withColumns({"sentiment_score_nltk": F.lit(0.0), "sentiment_label_nltk": F.lit("Neutral")})
+    want, got = (
+        sorted(map(tuple, runs.merge_clean(df, LEXICON, encode=hashed_terms, large_text=n).select("url", "description", "title", "datetime").collect()))
+        for n in (10**6, 500)
+    )
+    assert got == want and len(got) == 4 and len(dict((r[0], r[1]) for r in got)["u0"]) < 2000

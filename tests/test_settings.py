@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 from newsloom.operators import semantic
+from newsloom.workload.fixture import hashed_terms
 from newsloom.workload.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -28,8 +29,8 @@ def test_rows_without_keys_survive_both_paths(spark):
     text = "One fine day. Another day. One fine day."
     rows = [(None, text, True), ("u", text, True), ("u", text + " More.", True), (None, None, None)]
     df = spark.createDataFrame(rows, "url string, description string, was_merged boolean")
-    want = sorted(map(str, semantic.semantic_clean(df).collect()))
-    assert sorted(map(str, semantic.semantic_clean(df, whole=2, block=2).collect())) == want and len(want) == 4
+    want = sorted(map(str, semantic.semantic_clean(df, encode=hashed_terms).collect()))
+    assert sorted(map(str, semantic.semantic_clean(df, whole=2, block=2, encode=hashed_terms).collect())) == want and len(want) == 4
 
 
 def test_each_sentence_is_encoded_once(spark):
@@ -37,7 +38,7 @@ def test_each_sentence_is_encoded_once(spark):
 
     def encode(sentences):
         seen.add(len(sentences))
-        return semantic.hashed_terms(sentences)
+        return hashed_terms(sentences)
 
     df = spark.createDataFrame([(f"u{i}", "A one. B two. C three.", True) for i in range(40)], "url string, description string, was_merged boolean")
     assert semantic.semantic_clean(df, encode=encode).count() == 40

@@ -103,6 +103,10 @@ def test_schema_next_to_the_csv(spark, tmp_path, form):
     assert entries[0]["examples"] == ["a: b"] and len(entries[1]["examples"]) == 2
     with pytest.raises(ValueError):
         files.write_schema(df, str(tmp_path / "x"), "xml")
+    more = spark.createDataFrame([(i % 5, None) for i in range(9)], "n int, s string")
+    target = files.write_schema(more, str(tmp_path / "more"), form, sample_size=4, normalize_types=False)
+    entries = [json.loads(r.value.removeprefix("- ")) for r in spark.read.text(target).collect()]
+    assert [(e["type"], e["examples"]) for e in entries] == [("int", ["0", "1", "2", "3"]), ("string", [])]
 
 
 def test_lookback_start(spark):
