@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.dictionaries import BOOSTERS, ENGLISH_STOPWORDS, NEGATIONS
+from newsloom.dictionaries import BOOSTERS, ENGLISH_STOPWORDS, IDIOMS, NEGATIONS, WEAKENING
 from newsloom.functions.lookup import MAX_ENTRIES, let, lookup
 from newsloom.functions.parse import WS, empty_list, strip
 
@@ -76,22 +76,41 @@ NEGATED = -0.74
 DISTANCE_DAMPING = (1.0, 0.95, 0.9)
 EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MAX_QUESTIONS, MANY_QUESTIONS = 0.18, 3, 0.96
+# Of its rules on words around a word. "never so" and "never this" raise, "least" negates but for "at
+# least" and "very least", and what follows "but" counts for more than what comes before.
+NEVER_SO, NEVER_WITHIN_THREE = 1.5, 1.25
+BEFORE_BUT, AFTER_BUT = 0.5, 1.5
+RULE_WORDS = ("never", "so", "this", "least", "at", "very", "but")
 
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Word valences with the words that strengthen or negate what follows, and the text cleaning."""
+    """Word valences with the words that strengthen or negate what follows, and the text cleaning.
+
+    With ``rules``, the published rules on several words hold as well: "never so", "least", "but", ``idioms`` of two or
+    three words, which have a valence of their own, and boosters of two words.
+    """
 
     valence: Mapping[str, float]
     boosters: Mapping[str, float] = field(default_factory=dict)
     negations: tuple[str, ...] = ()
     stopwords: tuple[str, ...] = ()
     base_forms: Mapping[str, str] = field(default_factory=dict)
+    rules: bool = False
+    idioms: Mapping[str, float] = field(default_factory=dict)
+
+    def pairs(self) -> list[str]:
+        """Boosters of two words."""
+        return sorted(b for b in self.boosters if " " in b)
+
+    def named(self) -> set[str]:
+        """Words that a rule asks for by name."""
+        return {*RULE_WORDS, *(w for phrase in [*self.idioms, *self.pairs()] for w in phrase.split())} if self.rules else set()
 
     def terms(self) -> dict[str, dict]:
         """What a token as it stands in the text means; tokens that mean nothing are left out."""
-        meaning = {}
-        for token in {*self.valence, *self.boosters, *self.negations, *self.base_forms, *self.stopwords}:
+        meaning, named = {}, self.named()
+        for token in {*self.valence, *self.boosters, *self.negations, *self.base_forms, *self.stopwords, *named}:
             word = self.base_forms.get(token, token)
             term = {
                 "v": self.valence.get(word),
@@ -99,7 +118,9 @@ class Lexicon:
                 "n": word in self.negations,
                 "drop": token in self.stopwords or len(word) < 2,
             }
-            if term["drop"] or term["n"] or term["v"] is not None or term["b"] is not None:
+            if self.rules:
+                term["w"] = word if word in named else None
+            if term["drop"] or term["n"] or term["v"] is not None or term["b"] is not None or term.get("w"):
                 meaning[token] = term
         return meaning
 
@@ -121,8 +142,8 @@ class Lexicon:
 def english_lexicon(
     valence: Mapping[str, float], base_forms: Mapping[str, str] | None = None
 ) -> Lexicon:
-    """Word valences with the published English boosters, negations and stopwords."""
-    return Lexicon(valence, BOOSTERS, NEGATIONS, ENGLISH_STOPWORDS, base_forms or {})
+    """Word valences with the published English boosters, negations, idioms and stopwords, and all rules."""
+    return Lexicon(valence, BOOSTERS, NEGATIONS, ENGLISH_STOPWORDS, base_forms or {}, True, IDIOMS)
 
 
 def read_dictionary(spark: SparkSession, path: str, value_type: str = "double") -> dict:
@@ -154,6 +175,58 @@ def _with_context(terms: Column, i: Column, own: Column) -> Column:
     return let(after(own, 1), lambda v: let(after(v, 2), lambda w: after(w, 3)))
 
 
+def _with_rules(terms: Column, i: Column, own: Column, lexicon: Lexicon) -> Column:
+    """The same with the rules on several words."""
+
+    def at(distance: int) -> Column:
+        return F.when(i >= distance, F.get(terms, i - distance)) if distance > 0 else F.get(terms, i - distance)
+
+    def word(distance: int) -> Column:
+        return F.coalesce(at(distance)["w"], F.lit(""))
+
+    def so(distance: int) -> Column:
+        return word(distance).isin("so", "this")
+
+    def unknown(distance: int) -> Column:
+        return (i >= distance) & at(distance)["v"].isNull()
+
+    def phrase(first: int, last: int) -> Column:
+        return F.concat_ws(" ", *[word(d) for d in range(first, last - 1, -1)])
+
+    def after(value: Column, distance: int) -> Column:
+        before = at(distance)
+        boost = F.coalesce(before["b"] * DISTANCE_DAMPING[distance - 1], F.lit(0.0)) * F.when(value < 0, -1.0).otherwise(1.0)
+        negated = F.when(F.coalesce(before["n"], F.lit(False)), NEGATED).otherwise(1.0)
+        if distance == 2:
+            negated = F.when((word(2) == "never") & so(1), NEVER_SO).otherwise(negated)
+        if distance == 3:
+            negated = F.when(((word(3) == "never") & so(2)) | so(1), NEVER_WITHIN_THREE).otherwise(negated)
+        return F.when(unknown(distance), (value + boost) * negated).otherwise(value)
+
+    def idiom(value: Column) -> Column:
+        """An idiom that the word is in, or that ends before it, takes the place of its valence; one that it begins too."""
+        valences = F.create_map(*[F.lit(x) for pair in sorted(lexicon.idioms.items()) for x in pair])
+        back = [F.try_element_at(valences, phrase(*ends)) for ends in ((1, 0), (2, 0), (2, 1), (3, 1), (3, 2))]
+        ahead = [F.try_element_at(valences, phrase(0, last)) for last in (-2, -1)]
+        return F.when(unknown(3), F.coalesce(*ahead, *back, value)).otherwise(value)
+
+    def weakened(value: Column) -> Column:
+        pair = phrase(3, 2).isin(lexicon.pairs()) | phrase(2, 1).isin(lexicon.pairs())
+        return F.when(unknown(3) & pair, value + WEAKENING).otherwise(value)
+
+    def least(value: Column) -> Column:
+        only = (i < 2) | ~word(2).isin("at", "very")
+        return F.when((word(1) == "least") & at(1)["v"].isNull() & only, value * NEGATED).otherwise(value)
+
+    steps = [lambda v: after(v, 1), lambda v: after(v, 2), lambda v: after(v, 3)]
+    steps += [idiom] * bool(lexicon.idioms) + [weakened] * bool(lexicon.pairs()) + [least]
+
+    def run(value: Column, rest: list) -> Column:
+        return let(rest[0](value), lambda v: run(v, rest[1:])) if rest else value
+
+    return run(own, steps)
+
+
 def _emphasis(shouts: Column, asks: Column) -> Column:
     """Weight of exclamation and question marks."""
     return F.least(shouts, F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION + F.when(
@@ -173,18 +246,22 @@ def lexicon_score(c: Column, lexicon: Lexicon, terms: Callable[[Column], Column]
     the place of that dictionary: a function from a token to what ``Lexicon.terms`` holds for it.
     """
     c = F.coalesce(c, F.lit(""))
-    term = terms or lookup(lexicon.terms(), "struct<v:double,b:double,n:boolean,drop:boolean>")
+    kind = "struct<v:double,b:double,n:boolean,drop:boolean" + (",w:string>" if lexicon.rules else ">")
+    term = terms or lookup(lexicon.terms(), kind)
     spoken = F.filter(
         F.transform(lexicon.spoken(c), term), lambda t: ~F.coalesce(t["drop"], F.lit(False))
     )
 
     def of_terms(terms: Column) -> Column:
-        scored = F.transform(
-            terms,
-            lambda t, i: F.when(
-                t["v"].isNotNull() & t["b"].isNull(), _with_context(terms, i, t["v"])
-            ).otherwise(0.0),
-        )
+        def in_context(t: Column, i: Column) -> Column:
+            value = _with_rules(terms, i, t["v"], lexicon) if lexicon.rules else _with_context(terms, i, t["v"])
+            return F.when(t["v"].isNotNull() & t["b"].isNull(), value).otherwise(0.0)
+
+        scored = F.transform(terms, in_context)
+        if lexicon.rules:
+            but = F.array_position(F.transform(terms, lambda t: F.coalesce(t["w"], F.lit(""))), "but")
+            weight = lambda at, i: F.when((at == 0) | (at == i + 1), 1.0).when(i + 1 < at, BEFORE_BUT).otherwise(AFTER_BUT)
+            scored = let(F.struct(scored.alias("x"), but.alias("at")), lambda p: F.transform(p["x"], lambda x, i: x * weight(p["at"], i)))
         return F.round(F.aggregate(scored, F.lit(0.0), lambda a, x: a + x), 9)
 
     parts = F.struct(

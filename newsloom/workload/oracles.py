@@ -94,6 +94,52 @@ def score_ctes(name: str, source: str, key: str, text: str) -> list[str]:
     ]
 
 
+def rules_sql() -> str:
+    """The compound score of documents with the rules on several words."""
+    lex = fx.RULES_LEXICON
+    words = sorted({*lex.valence, *lex.boosters, *lex.negations})
+    lags = [f"lag({c}, {d}) OVER o AS {c}{d}" for d in (1, 2, 3) for c in ("v", "b", "n", "tok")]
+    lags += [f"lead(tok, {d}) OVER o AS ahead{d}" for d in (1, 2)] + ["row_number() OVER o AS rn", "min(CASE WHEN tok = 'but' THEN pos END) OVER (PARTITION BY doc_id) AS but"]
+    factors = {
+        1: "CASE WHEN n1 IS NOT NULL THEN -0.74 ELSE 1 END",
+        2: "CASE WHEN tok2 = 'never' AND tok1 IN ('so', 'this') THEN 1.5 WHEN n2 IS NOT NULL THEN -0.74 ELSE 1 END",
+        3: """CASE WHEN (tok3 = 'never' AND tok2 IN ('so', 'this')) OR tok1 IN ('so', 'this') THEN 1.25
+                WHEN n3 IS NOT NULL THEN -0.74 ELSE 1 END""",
+    }
+    steps = [
+        f"""s{d} AS (SELECT *, CASE WHEN rn > {d} AND v{d} IS NULL THEN (x{d - 1} + coalesce(b{d} * {damp}, 0)
+              * CASE WHEN x{d - 1} < 0 THEN -1 ELSE 1 END) * {factors[d]} ELSE x{d - 1} END AS x{d} FROM s{d - 1})"""
+        for d, damp in ((1, 1.0), (2, 0.95), (3, 0.9))
+    ]
+    phrases = ["tok || ' ' || ahead1 || ' ' || ahead2", "tok || ' ' || ahead1", "tok1 || ' ' || tok", "tok2 || ' ' || tok1 || ' ' || tok",
+               "tok2 || ' ' || tok1", "tok3 || ' ' || tok2 || ' ' || tok1", "tok3 || ' ' || tok2"]
+    found = ", ".join(f"(SELECT valence FROM idioms WHERE phrase = {x})" for x in phrases)
+    return "WITH " + ", ".join([
+        values("terms", "word, v, b, n", [(w, lex.valence.get(w), lex.boosters.get(w), "y" if w in lex.negations else None) for w in words]),
+        values("stop", "word", [(w,) for w in lex.stopwords]),
+        values("base", "word, form", sorted(lex.base_forms.items())),
+        values("idioms", "phrase, valence", sorted(lex.idioms.items())),
+        tokens_cte("t", "documents", "doc_id", "text"),
+        f"""s0 AS (SELECT doc_id, pos, tok, v, v AS x0, b, {', '.join(lags)} FROM (
+              SELECT t.doc_id, t.pos, t.tok, CAST(terms.v AS DOUBLE) AS v, CAST(terms.b AS DOUBLE) AS b, terms.n
+              FROM t LEFT JOIN terms ON terms.word = t.tok WHERE length(t.tok) > 1) WINDOW o AS (PARTITION BY doc_id ORDER BY pos))""",
+        *steps,
+        "scored AS (SELECT * FROM s3 WHERE v IS NOT NULL AND b IS NULL)",
+        f"idiom AS (SELECT *, CASE WHEN rn > 3 AND v3 IS NULL THEN coalesce({found}, x3) ELSE x3 END AS x4 FROM scored)",
+        """weak AS (SELECT *, CASE WHEN rn > 3 AND v3 IS NULL AND (tok3 || ' ' || tok2 = 'sort of' OR tok2 || ' ' || tok1 = 'sort of')
+              THEN x4 - 0.293 ELSE x4 END AS x5 FROM idiom)""",
+        """least AS (SELECT *, CASE WHEN tok1 = 'least' AND v1 IS NULL AND (rn <= 2 OR tok2 NOT IN ('at', 'very'))
+              THEN x5 * -0.74 ELSE x5 END AS x6 FROM weak)""",
+        """sums AS (SELECT doc_id, round(sum(x6 * CASE WHEN but IS NULL OR pos = but THEN 1 WHEN pos < but THEN 0.5 ELSE 1.5 END), 9) AS s
+              FROM least GROUP BY doc_id)""",
+        """marks AS (SELECT doc_id, least(count(*) FILTER (WHERE tok = '!'), 4) * 0.292::DOUBLE
+              + CASE WHEN count(*) FILTER (WHERE tok = '?') > 3 THEN 0.96::DOUBLE WHEN count(*) FILTER (WHERE tok = '?') > 1
+                  THEN count(*) FILTER (WHERE tok = '?') * 0.18::DOUBLE ELSE 0::DOUBLE END AS e FROM t GROUP BY doc_id)""",
+    ]) + """ SELECT doc_id, round(r / sqrt(r * r + 15), 4) AS score FROM (
+        SELECT doc_id, coalesce(s, 0) + sign(coalesce(s, 0)) * coalesce(e, 0) AS r
+        FROM documents LEFT JOIN sums USING (doc_id) LEFT JOIN marks USING (doc_id))"""
+
+
 def article_ctes(name: str, source: str, key: str) -> list[str]:
     """Table ``name`` with the article score of title and description per key."""
     return [
@@ -317,7 +363,57 @@ def _profile(i: int, name: str, kind: str) -> str:
         (SELECT arg_min({text}, _seq) FROM articles WHERE {name} IS NOT NULL)) AS example_2"""
 
 
+_CLEAN = r"regexp_replace(regexp_replace({}, '^[^\p{{L}}\p{{N}}]+', ''), '[^\p{{L}}\p{{N}}.]+$', '')"
+
+
+def learned_ctes(source: str, key: str, text: str) -> list[str]:
+    """Counts of words with and without a full stop over all texts, and which are abbreviations."""
+    return [
+        f"raw_tokens AS (SELECT {key}, unnest(l) AS token, generate_subscripts(l, 1) AS i, l FROM (SELECT {key}, "
+        f"list_filter(regexp_split_to_array(coalesce({text}, ''), '{WS}+'), lambda t: t <> '') AS l FROM {source}))",
+        f"clean_tokens AS (SELECT {_CLEAN.format('token')} AS clean, CASE WHEN i > 1 THEN l[i - 1] END AS before FROM raw_tokens)",
+        r"""counted AS MATERIALIZED (SELECT regexp_replace(lower(clean), '\.$', '') AS word,
+            count(*) FILTER (WHERE ends_with(clean, '.')) AS n_stop, count(*) FILTER (WHERE NOT ends_with(clean, '.')) AS n_plain,
+            count(*) FILTER (WHERE left(clean, 1) = lower(left(clean, 1))) AS n_small,
+            count(*) FILTER (WHERE left(clean, 1) <> lower(left(clean, 1)) AND before IS NOT NULL
+              AND NOT regexp_matches(before, '[.!?][^\p{L}\p{N}.!?]*$')) AS n_large_within
+          FROM clean_tokens WHERE regexp_matches(clean, '^\p{L}+(?:\.\p{L}+)*\.?$') GROUP BY word)""",
+        "share AS (SELECT least(greatest(sum(n_stop) / sum(n_stop + n_plain), 1e-12), 1 - 1e-12) AS s FROM counted)",
+        """scored_words AS (SELECT word, n_stop, n_plain, n_small, n_large_within, length(replace(word, '.', '')) AS letters,
+            -2 * ((n_stop * ln(s) + n_plain * ln(1 - s)) - (n_stop * ln(0.99) + n_plain * ln(1 - CAST(0.99 AS DOUBLE))))
+            * exp(-CAST(length(replace(word, '.', '')) AS DOUBLE)) * (length(word) - length(replace(word, '.', '')) + 1)
+            * pow(CAST(length(replace(word, '.', '')) AS DOUBLE), -CAST(n_plain AS DOUBLE)) AS score FROM counted, share)""",
+        """learned AS MATERIALIZED (SELECT *, n_stop > 0 AND score >= 0.3 AS abbreviation,
+            n_small > 0 AND n_large_within = 0 AS starter FROM scored_words)""",
+    ]
+
+
+def learned_split(source: str, key: str, text: str) -> str:
+    bare = f"regexp_replace(part, '^{WS}+|{WS}+$', '', 'g')"
+    last, first = (_CLEAN.format(f"regexp_split_to_array({bare}, '{WS}+')[{i}]") for i in (-1, 1))
+    return "WITH " + ", ".join([
+        *learned_ctes(source, key, text),
+        f"""parts AS (SELECT {key}, unnest(l) AS part, generate_subscripts(l, 1) AS i FROM (SELECT {key},
+            list_filter(string_split(regexp_replace(regexp_replace(coalesce({text}, ''), '^{WS}+|{WS}+$', '', 'g'),
+              '([.!?]{WS}+)', '\\1' || chr(1), 'g'), chr(1)), lambda p: p <> '') AS l FROM {source}))""",
+        f"words AS (SELECT *, {last} AS last, {first} AS first FROM parts)",
+        f"before AS (SELECT *, lag(last) OVER (PARTITION BY {key} ORDER BY i) AS last_before FROM words)",
+        f"""breaks AS (SELECT b.{key}, b.i, b.part, coalesce(last_before IS NULL
+              OR NOT (ends_with(last_before, '.') AND coalesce(a.abbreviation, false))
+              OR (left(first, 1) <> lower(left(first, 1)) AND coalesce(s.starter, false)), true) AS new
+            FROM before b LEFT JOIN learned a ON a.word = regexp_replace(lower(last_before), '\\.$', '')
+            LEFT JOIN learned s ON s.word = regexp_replace(lower(first), '\\.$', ''))""",
+        f"numbered AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY {key} ORDER BY i) AS g FROM breaks)",
+        f"""whole AS (SELECT {key}, g, regexp_replace(string_agg(part, '' ORDER BY i), '^{WS}+|{WS}+$', '', 'g') AS sentence
+            FROM numbered GROUP BY {key}, g)""",
+    ]) + f" SELECT {key}, row_number() OVER (PARTITION BY {key} ORDER BY g) - 1 AS pos, sentence FROM whole WHERE sentence <> ''"
+
+
 ORACLES: dict[str, str] = {
+    "lexicon_score_rules": rules_sql(),
+    "abbreviations": "WITH " + ", ".join(learned_ctes("documents", "doc_id", "text"))
+    + " SELECT word, n_stop, n_plain, round(score, 6) AS score, starter FROM learned WHERE abbreviation",
+    "split_sentences_learned": learned_split("documents", "doc_id", "text"),
     "ingest_feed": on_articles(
         """SELECT title, url, description AS summary, source, source || '.example' AS source_domain,
         CAST(doc_id % 200 - 100 AS DOUBLE) / 100 AS overall_sentiment_score,
@@ -513,6 +609,16 @@ ORACLES: dict[str, str] = {
             "last AS (SELECT label, max_by(kept, rn) AS kept FROM walk GROUP BY label)",
         ]
     ) + " SELECT v.label, v.vec_id FROM v JOIN last ON last.label = v.label AND list_contains(last.kept, v.rn)",
+    "semantic_dedup_rounds": "WITH RECURSIVE " + ", ".join(
+        [
+            "v AS (SELECT 1 AS label, vec_id, CAST(embedding AS DOUBLE[]) AS e, "
+            "row_number() OVER (ORDER BY vec_id) AS rn FROM embeddings)",
+            """near AS (SELECT a.label, a.rn, b.rn AS earlier FROM v a JOIN v b
+               ON b.rn < a.rn WHERE list_cosine_similarity(a.e, b.e) >= 0.3)""",
+            *greedy_ctes("walk", "v", "label", "near"),
+            "last AS (SELECT label, max_by(kept, rn) AS kept FROM walk GROUP BY label)",
+        ]
+    ) + " SELECT v.vec_id FROM v JOIN last ON list_contains(last.kept, v.rn)",
     "semantic_clean": recursive(on_articles(
         """SELECT b.url, CASE WHEN was_merged THEN coalesce(c.description, '') ELSE b.description END AS description,
         was_merged, CAST(coalesce(c.removed, 0) AS BIGINT) AS removed_sent_count
@@ -521,6 +627,37 @@ ORACLES: dict[str, str] = {
         "flagged AS (SELECT url, description FROM best WHERE was_merged)",
         *semantic_ctes("c", "flagged", "url"),
     )),
+    "semantic_clean_vectors": recursive(on_articles(
+        """SELECT b.url, CASE WHEN was_merged THEN coalesce(c.description, '') ELSE b.description END AS description,
+        was_merged, CAST(coalesce(c.removed, 0) AS BIGINT) AS removed_sent_count
+        FROM best b LEFT JOIN c USING (url)""",
+        best("articles", [], RANK, "doc_id"),
+        "flagged AS (SELECT url, description FROM best WHERE was_merged)",
+        sentences_cte("c_s", "flagged", "url", "description"),
+        """c_rows AS (SELECT s.*, CAST(pos + 1 AS BIGINT) AS rn, CAST(e.embedding AS DOUBLE[]) AS e FROM c_s s
+            LEFT JOIN embeddings e ON e.vec_id = (length(sentence) * 7 + pos * 3) % ((SELECT count(*) FROM embeddings) + 20))""",
+        """c_near AS (SELECT a.url, a.rn, b.rn AS earlier FROM c_rows a JOIN c_rows b ON a.url = b.url AND b.rn < a.rn
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.3)""",
+        *greedy_ctes("c_w", "c_rows", "url", "c_near"),
+        "c_k AS (SELECT url, max_by(kept, rn) AS kept, max(rn) AS n FROM c_w GROUP BY url)",
+        """c AS (SELECT r.url, string_agg(r.sentence, ' ' ORDER BY r.rn) AS description, max(k.n) - count(*) AS removed
+            FROM c_rows r JOIN c_k k ON k.url = r.url AND list_contains(k.kept, r.rn) GROUP BY r.url)""",
+    )),
+    "guards": """SELECT 'whole' AS guard, count(*) AS n, CAST(NULL AS VARCHAR) AS said FROM documents
+        UNION ALL SELECT 'german', count(*), NULL FROM documents WHERE lang = 'de'
+        UNION ALL SELECT 'columns', 0, 'Missing columns: [''title'', ''url'']'
+        UNION ALL SELECT 'rows', 0, 'No data returned: documents in xx'""",
+    "schema_profile_samples": on_articles(
+        " UNION ALL ".join(
+            f"""SELECT CAST({i} AS INTEGER) AS position, '{c}' AS name, '{kind}' AS type, (SELECT count(*) > 0 FROM articles WHERE {c} IS NULL) AS nullable,
+            l[1] AS example_1, l[2] AS example_2, l[3] AS example_3, l[4] AS example_4 FROM (
+              SELECT list(t ORDER BY s) AS l FROM (SELECT {text} AS t, min(_seq) AS s FROM articles WHERE {c} IS NOT NULL GROUP BY 1))"""
+            for i, (c, kind, text) in enumerate(
+                [("doc_id", "bigint", "CAST(doc_id AS VARCHAR)"), ("source", "string", "source"), ("lang", "string", "lang"), ("data_source", "string", "data_source"),
+                 ("datetime", "timestamp_ntz", "rtrim(rtrim(strftime(datetime, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')")]
+            )
+        )
+    ),
     "union_sources": on_articles("SELECT doc_id, url, title FROM articles"),
     "source_rank": on_articles(
         """SELECT doc_id, CAST(CASE WHEN lang = 'de' THEN 999 WHEN data_source = 'alpha' THEN 1 ELSE 2 END
@@ -611,7 +748,11 @@ ORACLES: dict[str, str] = {
 
 # The same rows by another way.
 ORACLES["merge_run_layers"] = ORACLES["merge_run"]
-for _name in ("preprocess_text", "lexicon_score", "keyword_tag"):
+for _name in ("preprocess_text", "lexicon_score", "keyword_tag", "prefix_terms", "stem_terms"):
     ORACLES[f"{_name}_table"] = ORACLES[_name]
 ORACLES["upsert_main_any"] = ORACLES["upsert_main"]
 ORACLES["semantic_clean_large"] = ORACLES["semantic_clean"]
+ORACLES["upsert_buckets"] = ORACLES["upsert_main"]
+ORACLES["append_buckets"] = ORACLES["append_distinct"]
+ORACLES["merge_clean_pieces"] = ORACLES["merge_clean"]
+ORACLES["pivot_blocks"] = ORACLES["pivot_scores"]

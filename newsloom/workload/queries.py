@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +12,11 @@ from newsloom.dictionaries import MERGED_COLUMNS, SOURCE_A, SOURCE_B
 from newsloom.functions import parse as P
 from newsloom.functions import text as X
 from newsloom.operators import merge as M
-from newsloom.operators import profile, resample, semantic, validate
+from newsloom.operators import profile, resample, semantic, sentences, terms, validate
 from newsloom.operators.dictionary import with_dictionary
 from newsloom.plans import runs
 from newsloom.session import scratch_path, stored
-from newsloom.sources import files, landing
+from newsloom.sources import files, landing, tables
 from newsloom.workload import fixture as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +154,34 @@ def schema_profile(spark, sf_dir):
     return profile.schema_profile(P.with_lists(fx.articles(spark, sf_dir), "search_terms"))
 
 
+@query
+def schema_profile_samples(spark, sf_dir):
+    """Four examples of each column, under Spark's own type names."""
+    news = fx.articles(spark, sf_dir).select("doc_id", "source", "lang", "data_source", "datetime", M.SEQ)
+    return profile.schema_profile(news, sample_size=4, normalize_types=False)
+
+
+@query
+def guards(spark, sf_dir):
+    """What the guards on columns and on empty results let through, and what they say otherwise."""
+    docs = fx.table(spark, sf_dir, "documents")
+    cases = {
+        "whole": lambda: validate.require_rows(validate.require_columns(docs, ["doc_id", "text"]), "documents"),
+        "german": lambda: validate.require_rows(docs.where("lang = 'de'"), "german"),
+        "columns": lambda: validate.require_columns(docs, ["doc_id", "title", "url"]),
+        "rows": lambda: validate.require_rows(docs.where("lang = 'xx'"), "documents in xx"),
+    }
+
+    def outcome(name: str) -> DataFrame:
+        try:
+            passed, said = cases[name](), None
+        except (KeyError, ValueError) as error:
+            passed, said = docs.limit(0), str(error.args[0])
+        return passed.agg(F.count("*").alias("n")).select(F.lit(name).alias("guard"), "n", F.lit(said).cast("string").alias("said"))
+
+    return functools.reduce(DataFrame.unionByName, map(outcome, cases))
+
+
 @query
 def upsert_main(spark, sf_dir):
     news = fx.articles(spark, sf_dir).select(
@@ -173,6 +202,29 @@ def upsert_main_any(spark, sf_dir):
     return with_text_lists(M.upsert(news.where("data_source = 'beta'"), alpha.unionByName(alpha), "url"))
 
 
+@query
+def upsert_buckets(spark, sf_dir):
+    """The same in a bucketed main table: three batches, each of which reads and writes its own buckets only."""
+    news = fx.articles(spark, sf_dir).select(
+        "url", "title", "description", "datetime", "search_terms", "data_source", M.SEQ
+    )
+    path = scratch_path(spark, "main")
+    beta = F.col("data_source") == "beta"
+    for part in (~beta, beta & (F.crc32("url") % 16 > 0), beta & (F.crc32("url") % 16 == 0)):
+        tables.upsert_main(news.where(part), path, bucket_rows=40)
+    return with_text_lists(tables.read_snapshot(spark, path))
+
+
+@query
+def append_buckets(spark, sf_dir):
+    """Appends to a bucketed main table, one of them twice."""
+    news = fx.articles(spark, sf_dir).select("url", "source", "lang", "data_source")
+    path = scratch_path(spark, "main")
+    for part in ("data_source = 'alpha'", "data_source = 'beta'", "data_source = 'beta'"):
+        tables.append_main(news.where(part).drop("data_source"), path, bucket_rows=100)
+    return tables.read_snapshot(spark, path)
+
+
 @query
 def append_distinct(spark, sf_dir):
     news = fx.articles(spark, sf_dir).select("url", "source", "lang", "data_source")
@@ -382,6 +434,14 @@ def lexicon_score(spark, sf_dir):
     )
 
 
+@query
+def lexicon_score_rules(spark, sf_dir):
+    """The same with the rules on several words: never so, least, but, idioms, boosters of two words."""
+    return fx.table(spark, sf_dir, "documents").repartition("doc_id").select(
+        "doc_id", X.lexicon_score(F.col("text"), fx.RULES_LEXICON).alias("score")
+    )
+
+
 @query
 def sentiment_label(spark, sf_dir):
     score = (F.pmod("doc_id", F.lit(21)) - 10) / 100.0
@@ -423,6 +483,44 @@ def stem_terms(spark, sf_dir):
     )
 
 
+def _search_tables(spark) -> tuple[DataFrame, DataFrame]:
+    asked = [t for part in fx.SEARCH.split(" OR ") for more in part.split(" AND ") for t in more.split(",")]
+    terms = _entries(spark, "term string, place int", [(t, i) for i, t in enumerate(asked)])
+    return terms, _entries(spark, "word string, stem string", fx.STEMS.items())
+
+
+@query
+def prefix_terms_table(spark, sf_dir):
+    """The same with terms and stems that are tables."""
+    tables_ = _search_tables(spark)
+    news = terms.prefix_terms_table(fx.articles(spark, sf_dir).select("doc_id", "title"), "doc_id", "title", *tables_)
+    news = terms.prefix_terms_table(news, "doc_id", "title", *tables_, return_search_terms=False, name="found")
+    return news.select("doc_id", joined("terms").alias("terms"), joined("found").alias("found"))
+
+
+@query
+def stem_terms_table(spark, sf_dir):
+    """The same with terms and stems that are tables."""
+    news = terms.stem_terms_table(fx.articles(spark, sf_dir).select("doc_id", "title"), "doc_id", "title", *_search_tables(spark))
+    return news.select("doc_id", joined("terms").alias("terms"))
+
+
+@query
+def abbreviations(spark, sf_dir):
+    """Words that the texts use as abbreviations, with their counts."""
+    learned = sentences.learn_abbreviations(fx.table(spark, sf_dir, "documents"), "text")
+    return learned.where("abbreviation").select("word", "n_stop", "n_plain", F.round("score", 6).alias("score"), "starter")
+
+
+@query
+def split_sentences_learned(spark, sf_dir):
+    """Sentences of the splitter that learns its abbreviations from all texts."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = stored(sentences.learn_abbreviations(docs, "text"), "abbreviations")
+    split = sentences.split_sentences_learned(docs, "doc_id", "text", learned)
+    return split.select("doc_id", F.posexplode("sentences").alias("pos", "sentence")).withColumn("pos", F.col("pos").cast("long"))
+
+
 @query
 def split_sentences(spark, sf_dir):
     return fx.table(spark, sf_dir, "documents").select(
@@ -448,12 +546,36 @@ def semantic_dedup(spark, sf_dir):
     return kept.select("label", "vec_id")
 
 
+@query
+def semantic_dedup_rounds(spark, sf_dir):
+    """All vectors as one document, decided in parallel rounds over small blocks."""
+    vectors = fx.table(spark, sf_dir, "embeddings").withColumn("doc", F.lit("all"))
+    kept = semantic.greedy_dedup(vectors, "doc", "vec_id", "embedding", threshold=0.3, whole=100, block=100)
+    return kept.select("vec_id")
+
+
 def _semantic_clean(spark, sf_dir, **sizes):
     merged = M.best_row_merge(
         fx.articles(spark, sf_dir).select("url", "data_source", "description", "datetime", M.SEQ),
         ranks=fx.RANKS,
     )
-    return semantic.semantic_clean(stored(merged.drop(M.SEQ), "merged"), **sizes).select(
+    return semantic.semantic_clean(stored(merged.drop(M.SEQ), "merged"), encode=fx.hashed_terms, **sizes).select(
+        "url", "description", "was_merged", "removed_sent_count"
+    )
+
+
+@query
+def semantic_clean_vectors(spark, sf_dir):
+    """The same with vectors out of a table: each sentence has one of the given embeddings, some have none."""
+    merged = M.best_row_merge(
+        fx.articles(spark, sf_dir).select("url", "data_source", "description", "datetime", M.SEQ), ranks=fx.RANKS
+    )
+    merged = stored(merged.drop(M.SEQ), "merged")
+    given = fx.table(spark, sf_dir, "embeddings")
+    which = F.pmod(F.length("sentence") * 7 + F.col("pos") * 3, F.lit(given.count() + 20)).cast("long")
+    rows = semantic.sentence_rows(merged).select("url", "pos", which.alias("vec_id"))
+    vectors = rows.join(given, "vec_id").select("url", "pos", F.col("embedding").alias("vector"))
+    return semantic.semantic_clean_vectors(merged, vectors, threshold=0.3, whole=64, block=32).select(
         "url", "description", "was_merged", "removed_sent_count"
     )
 
@@ -579,6 +701,15 @@ def pivot_scores(spark, sf_dir):
     return wide.select("bucket", *[F.round(t, 12).alias(t) for t in TICKERS])
 
 
+@query
+def pivot_blocks(spark, sf_dir):
+    """The wide form in blocks of three tickers, read back as one table."""
+    series = resample.resample_nested(fx.articles(spark, sf_dir), "D")
+    paths = resample.write_wide(series, scratch_path(spark, "blocks"), width=3)
+    wide = resample.read_wide(spark, paths, TICKERS)
+    return wide.select("bucket", *[F.round(t, 12).alias(t) for t in TICKERS])
+
+
 # Whole runs
 
 
@@ -648,7 +779,16 @@ def _union_of_sources(spark, sf_dir) -> DataFrame:
 
 @query
 def merge_clean(spark, sf_dir):
-    done = runs.merge_clean(_union_of_sources(spark, sf_dir), fx.LEXICON)
+    done = runs.merge_clean(_union_of_sources(spark, sf_dir), fx.LEXICON, encode=fx.hashed_terms)
+    return with_text_lists(
+        done.select(*MERGED_COLUMNS).withColumn("sentiment_score_nltk", F.round("sentiment_score_nltk", 6))
+    )
+
+
+@query
+def merge_clean_pieces(spark, sf_dir):
+    """The same where most URLs have more text than may meet in one cell."""
+    done = runs.merge_clean(_union_of_sources(spark, sf_dir), fx.LEXICON, encode=fx.hashed_terms, large_text=2000)
     return with_text_lists(
         done.select(*MERGED_COLUMNS).withColumn("sentiment_score_nltk", F.round("sentiment_score_nltk", 6))
     )
@@ -658,8 +798,8 @@ def merge_clean(spark, sf_dir):
 def merge_run(spark, sf_dir):
     """Append the merge of both sources to an older main table: that of source A alone."""
     union = stored(_union_of_sources(spark, sf_dir), "processed")
-    new = runs.merge_clean(union, fx.LEXICON)
-    old = runs.merge_clean(union.where("data_source = 'alpha_vantage'"), fx.LEXICON)
+    new = runs.merge_clean(union, fx.LEXICON, encode=fx.hashed_terms)
+    old = runs.merge_clean(union.where("data_source = 'alpha_vantage'"), fx.LEXICON, encode=fx.hashed_terms)
     both = M.append_distinct(new.select(MERGED_COLUMNS), old.select(MERGED_COLUMNS))
     return with_text_lists(both.withColumn("sentiment_score_nltk", F.round("sentiment_score_nltk", 6)))
 
@@ -670,7 +810,7 @@ def merge_run_layers(spark, sf_dir):
     news, root = fx.articles(spark, sf_dir), scratch_path(spark, "lake")
     a = stored(runs.transform_a(fx.raw_a(news.where("data_source = 'alpha'")), fx.LEXICON), "a")
     b = stored(runs.transform_b(fx.raw_b(news.where("data_source = 'beta'")), fx.LEXICON, fx.KEYWORDS), "b")
-    runs.run_merge([a], root, fx.LEXICON)
-    runs.run_merge([a, b], root, fx.LEXICON)
+    runs.run_merge([a], root, fx.LEXICON, encode=fx.hashed_terms)
+    runs.run_merge([a, b], root, fx.LEXICON, encode=fx.hashed_terms)
     main = files.read_snapshot(spark, f"{root}/merged/main")
     return with_text_lists(main.withColumn("sentiment_score_nltk", F.round("sentiment_score_nltk", 6)))

@@ -1,0 +1,134 @@
+"""Learned abbreviations against a plain count, and the sentences that follow from them."""
+
+import math
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from newsloom.functions.text import split_sentences
+from newsloom.operators import sentences as S
+from newsloom.operators import terms as T
+from newsloom.functions import text as X
+
+TYPE = re.compile(r"[^\W\d_]+(?:\.[^\W\d_]+)*\.?")
+
+
+def clean(token):
+    return re.sub(r"(?:(?!\.)[\W_])+$", "", re.sub(r"^[\W_]+", "", token))
+
+
+def kind(c):
+    return c.lower().removesuffix(".")
+
+
+def large(c):
+    return c[:1] != c[:1].lower()
+
+
+def learned(texts):
+    n = defaultdict(lambda: [0, 0, 0, 0])
+    for text in texts:
+        tokens = (text or "").split()
+        for i, token in enumerate(tokens):
+            c = clean(token)
+            if not TYPE.fullmatch(c):
+                continue
+            within = i > 0 and not re.search(r"[.!?](?:(?![.!?])[\W_])*$", tokens[i - 1])
+            for j, yes in enumerate((c.endswith("."), not c.endswith("."), not large(c), large(c) and within)):
+                n[kind(c)][j] += yes
+    stops, total = sum(v[0] for v in n.values()), sum(v[0] + v[1] for v in n.values())
+    share = min(max(stops / total, 1e-12), 1 - 1e-12)
+    out = {}
+    for word, (stop, plain, small, within) in n.items():
+        ll = -2 * (stop * math.log(share) + plain * math.log(1 - share) - stop * math.log(0.99) - plain * math.log(0.01))
+        letters = len(word.replace(".", ""))
+        score = ll * math.exp(-letters) * (len(word) - letters + 1) * letters**-plain
+        out[word] = (stop, plain, score, stop > 0 and score >= 0.3, small > 0 and within == 0)
+    return out
+
+
+def split(text, words):
+    out = []
+    parts = [p for p in re.findall(r"(?s)(.*?(?:[.!?]\s+|\Z))", (text or "").strip()) if p]
+    for part in parts:
+        if out:
+            last, first = clean(out[-1].split()[-1]), clean(part.split()[0])
+            if last.endswith(".") and words.get(kind(last), [0] * 5)[3] and not (large(first) and words.get(kind(first), [0] * 5)[4]):
+                out[-1] += part
+                continue
+        out.append(part)
+    return [s.strip() for s in out if s.strip()]
+
+
+def corpus(seed, n):
+    rng = random.Random(seed)
+    names, plain = ["Smith", "Jones", "Baker"], ["the", "market", "rose", "today", "again", "prices", "fell", "it", "was"]
+    out = []
+    for _ in range(n):
+        text = []
+        for _ in range(rng.randint(1, 8)):
+            body = [rng.choice(plain) for _ in range(rng.randint(1, 6))]
+            if rng.random() < 0.6:
+                body.insert(rng.randint(0, len(body)), rng.choice(["Dr.", "(Mr.", "U.S.", "e.g.", "No."]) + rng.choice([" ", "  "]) + rng.choice([*names, "5"]))
+            text.append((body[0][:1].upper() + body[0][1:]) + " " + " ".join(body[1:]) + rng.choice([".", "!", "?", '."', "..."]))
+        out.append(rng.choice([" ", "\n", "  "]).join(text))
+    return out + [None, "", "  ", "Dr.", "Dr. Smith", "...", ". ."]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_a_plain_count(spark, seed):
+    texts = corpus(seed, 300)
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, body string").repartition(3)
+    words = learned(texts)
+    got = {r.word: r for r in S.learn_abbreviations(df, "body").collect()}
+    assert set(got) == set(words)
+    for word, (stop, plain, score, abbreviation, starter) in words.items():
+        r = got[word]
+        assert (r.n_stop, r.n_plain, r.abbreviation, r.starter) == (stop, plain, abbreviation, starter), word
+        assert r.score == pytest.approx(score, rel=1e-9)
+    assert words["dr"][3] and words["u.s"][3] and words["e.g"][3] and not words["market"][3]
+    table = S.learn_abbreviations(df, "body")
+    rows = S.split_sentences_learned(df.withColumn("extra", F.lit(1)), "id", "body", table).collect()
+    assert {r.id: r.sentences for r in rows} == {i: split(t, words) for i, t in enumerate(texts)}
+    by_rule = {r.id: r.s for r in df.select("id", split_sentences(F.col("body")).alias("s")).collect()}
+    assert sum(len(r.sentences) for r in rows) < sum(map(len, by_rule.values()))
+
+
+def test_nothing_to_learn_from(spark):
+    df = spark.createDataFrame([(1, "One two three"), (2, None)], "id int, body string")
+    table = S.learn_abbreviations(df, "body")
+    assert table.where("abbreviation").isEmpty()
+    assert {r.id: r.s for r in S.split_sentences_learned(df, "id", "body", table.limit(0), "s").collect()} == {1: ["One two three"], 2: []}
+
+
+def test_terms_as_tables_equal_the_literal_forms(spark):
+    stems = {"bitcoiners": "bitcoin", "mining": "mine", "miners": "mine", "ethers": "ether", "": "x"}
+    asked = "bitcoin OR btc AND mining, mine,ether, zzz"
+    titles = ["Bitcoiners' miner", "nothing here", None, "", "$BTC for bitcoiners, miner", "mine", "Ethers and #ether mining", "ethereum btcs", "None"]
+    df = spark.createDataFrame(list(enumerate(titles)), "id int, title string").repartition(2)
+    rows = [(f" {t} " if i % 2 else t, i) for i, t in enumerate(re.split(" OR | AND |,", asked))]
+    terms, stem_table = spark.createDataFrame(rows, "term string, place int"), spark.createDataFrame(list(stems.items()), "word string, stem string")
+    literal = df.select(
+        "id", X.prefix_terms(F.col("title"), asked, stems).alias("a"), X.prefix_terms(F.col("title"), asked, stems, False).alias("b"),
+        X.stem_terms(F.col("title"), asked, stems).alias("c"),
+    )
+    want = {r.id: (sorted(r.a), r.b, r.c) for r in literal.collect()}
+    got = T.prefix_terms_table(df, "id", "title", terms, stem_table, name="a")
+    got = T.prefix_terms_table(got, "id", "title", terms, stem_table, return_search_terms=False, name="b")
+    got = T.stem_terms_table(got, "id", "title", terms, stem_table, name="c")
+    assert {r.id: (sorted(r.a), r.b, r.c) for r in got.collect()} == want
+
+
+def test_many_terms(spark, monkeypatch):
+    """More terms than fit in a cell: a title without a match has null for all of them."""
+    monkeypatch.setattr(T, "MAX_ALL", 1000)
+    terms = spark.range(50_000).select(F.concat(F.lit("term"), F.col("id").cast("string")).alias("term"))
+    df = spark.createDataFrame([(1, "term7x other"), (2, "nothing"), (3, "TERM49999")], "id int, title string")
+    got = {r.id: r.terms for r in T.prefix_terms_table(df, "id", "title", terms).collect()}
+    assert got == {1: ["term7"], 2: None, 3: ["term4", "term49", "term499", "term4999", "term49999"]}
+    none = spark.createDataFrame([], "term string")
+    assert {r.id: r.terms for r in T.prefix_terms_table(df, "id", "title", none).collect()} == {1: [], 2: [], 3: []}
+    assert {r.id: r.terms for r in T.stem_terms_table(df, "id", "title", none).collect()} == {1: [], 2: [], 3: []}

@@ -134,3 +134,45 @@ def test_english_lexicon_from_files(spark, tmp_path):
     # "not" and "very" are stopwords and gone before scoring; "never" and "extremely" are not.
     assert run(spark, score, "not very good") == pytest.approx(compound(1.9))
     assert run(spark, score, "never extremely good") == pytest.approx(compound((1.9 + 0.293) * -0.74))
+
+
+RULES = X.Lexicon(
+    valence={"good": 1.9, "bad": -2.5, "doubt": -1.5, "ass": -2.5, "right": 1.0},
+    boosters={"very": 0.293, "sort of": -0.293},
+    negations=("never", "without", "n't"),
+    rules=True,
+    idioms={"bad ass": 1.5, "yeah right": -2.0, "kiss of death": -1.5, "good as gold": 3.0},
+)
+
+
+@pytest.mark.parametrize(
+    "text,total",
+    [
+        ("never good", 1.9 * -0.74),
+        ("never so good", 1.9 * 1.5),
+        ("never this good", 1.9 * 1.5),
+        ("never so very good", (1.9 + 0.293) * 1.25),
+        ("xx yy so good", 1.9 * 1.25),
+        ("without doubt good", -1.5 * -0.74 + 1.9 * -0.74),
+        ("least good", 1.9 * -0.74),
+        ("xx least good", 1.9 * -0.74),
+        ("at least good", 1.9),
+        ("very least good", 1.9 + 0.293 * 0.95),
+        ("good but bad", 1.9 * 0.5 - 2.5 * 1.5),
+        ("but good", 1.9 * 1.5),
+        ("xx yy zz bad ass", -2.5 * 0 + 1.5 + 1.5),  # either word of the idiom has its valence
+        ("bad ass", -5.0),  # too early: idioms ask for three words before
+        ("xx yy zz yeah right", -2.0),
+        ("xx yy sort of good", 1.9 - 0.293),
+        ("xx yy zz good as gold", 3.0),
+    ],
+)
+def test_rules_on_several_words(spark, text, total):
+    assert run(spark, lambda c: X.lexicon_score(c, RULES), text) == pytest.approx(compound(total), abs=1e-9)
+
+
+def test_rules_hold_for_the_english_lexicon_and_no_other(spark):
+    lexicon = X.english_lexicon({"good": 1.9})
+    assert lexicon.rules and lexicon.idioms and "kind of" in lexicon.pairs()
+    assert run(spark, lambda c: X.lexicon_score(c, lexicon), "least good") == pytest.approx(compound(1.9 * -0.74))
+    assert run(spark, lambda c: X.lexicon_score(c, LEXICON), "least good") == pytest.approx(compound(1.9))
