@@ -5,6 +5,7 @@ All functions work on whole texts. A null text is an empty one.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -32,6 +33,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_LIBC = ctypes.CDLL(None) if sys.platform == "linux" else None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker that waits for its next task would keep it, and an executor has several."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def kept_in_process(name: str, make: Callable[[], object]) -> object:
     """What a worker process makes once and keeps for its later tasks; it must not change results."""
     kept = sys.modules.setdefault("newsloom_worker_state", types.ModuleType("newsloom_worker_state")).__dict__
@@ -75,6 +86,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SL
             stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -184,6 +196,7 @@ def packed(buckets: np.ndarray, records: np.ndarray, name: str = "bucket", salt:
 
 def unpacked(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> np.ndarray:
     """All records of the packed cells that reached this task."""
+    give_back()
     found = [np.frombuffer(x.as_buffer(), kind) for b in batches for x in column(b, "records")]
     return np.concatenate(found) if found else np.zeros(0, kind)
 
