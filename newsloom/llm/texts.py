@@ -5,7 +5,6 @@ All functions work on whole texts. A null text is an empty one.
 
 from __future__ import annotations
 
-import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -33,14 +32,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_LIBC = ctypes.CDLL(None) if sys.platform == "linux" else None
-
-
 def give_back() -> None:
     """Return freed memory to the system: a worker that waits for its next task would keep it, and an executor has several."""
+    import ctypes  # here, as functions travel to workers with what their module holds
+
     pa.default_memory_pool().release_unused()
-    if hasattr(_LIBC, "malloc_trim"):
-        _LIBC.malloc_trim(0)
+    libc = ctypes.CDLL(None) if sys.platform == "linux" else None
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def kept_in_process(name: str, make: Callable[[], object]) -> object:
