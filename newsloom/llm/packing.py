@@ -4,13 +4,17 @@ Documents become pieces of at most ``capacity`` tokens. Pieces are dealt to part
 best-fit, longest first. Nearly full bins are final. The emptiest of the others go on as items: groups of partitions
 are merged, and the bins that reach a group are packed best-fit again, level by level up to one group.
 
-Of two bins of a best-fit packing, no two fit together, so a partition has at most one bin that is not half full. Only
-such bins and the rooms they may fill are worth carrying on: a group passes on at most ``FORWARD`` bins, so the last
-task of the tree stays small at any size of the input.
+Of two bins of a best-fit packing, no two fit together, so a group has at most one bin that is not more than half full,
+and more than half full bins never fit together later on either. What a merge of ``FAN_IN`` groups can still save is
+that each group's one small bin goes into a room of another group: at most ``FAN_IN`` rooms are used at each level, and
+if a small bin fits any room, it fits the largest. So of a group, its ``FAN_IN`` emptiest bins for each level to come
+are all that any later level may use. ``FORWARD`` is that number for 64 levels, more than any table has: passing on more
+would save no sequence, and the last task of the tree stays small at any size of the input.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,10 +30,10 @@ from newsloom.session import stored
 
 # Bytes of text tokenised at a time.
 SLICE = 1 << 20
-# Items that one task packs, groups merged at a time, and bins that a group passes on.
+# Items that one task packs, groups merged at a time, and bins that a group passes on, the emptiest.
 ITEMS = 50_000
 FAN_IN = 8
-FORWARD = 512
+FORWARD = 64 * FAN_IN
 
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 
@@ -53,7 +57,8 @@ class Tokens:
     in arrays of code points and looked up by a 64-bit hash; only words not seen before go through the tokenizer's
     merges. At most ``limit`` words are remembered.
 
-    ``encode`` takes a text as ordinary words; ``encode_with_added`` first looks for the tokens that the file adds to
+    That holds for files that split as ``word_starts`` does and do not normalise; with others, texts go through the
+    tokenizer itself. ``encode`` takes a text as ordinary words; ``encode_with_added`` first looks for the tokens that the file adds to
     its vocabulary, as the tokenizer does when it is loaded.
     """
 
@@ -72,6 +77,10 @@ class Tokens:
         # Tokens that look at what is around them are left to the tokenizer.
         self.plain = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values())
         self.loaded = Tokenizer.from_file(path)
+        file = json.loads(self.loaded.to_str())
+        split = file["pre_tokenizer"] or {}
+        known = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        self.known = known and not file["normalizer"] and file["model"]["type"] == "BPE" and not file["model"].get("dropout")
         self.classes = _character_classes()
         # Byte-level vocabularies write printable bytes as themselves and the others as code points from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -159,6 +168,8 @@ class Tokens:
 
     def encode_with_added(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with those of the file's added tokens where their names stand."""
+        if not self.known:
+            return [np.asarray(e.ids, np.uint32) for e in self.loaded.encode_batch(texts, add_special_tokens=False)]
         special = [i for i, t in enumerate(texts) if self.split.search(t)]
         if not special:
             return self.encode(texts)

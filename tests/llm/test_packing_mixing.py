@@ -1,7 +1,9 @@
 """Packing against the tokenizer and the lower bound; mixing against its targets."""
 
+import json
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -50,6 +52,35 @@ def test_added_tokens_have_the_loaded_tokenizer_s_ids(loaded):
     assert [x.tolist() for x in tokens.encode_with_added(texts)] == want
 
 
+def test_other_splitting_patterns_go_through_the_tokenizer(tmp_path):
+    from tokenizers import Tokenizer
+
+    texts = ["one two", " x", "", "a<|endoftext|>b", "It's  odd\n"]
+    for change in ({"add_prefix_space": True}, {"use_regex": False}):
+        file = json.loads(Path(TOKENIZER).read_text())
+        file["pre_tokenizer"] |= change
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(file))
+        tokens = packing.Tokens(str(path))
+        want = [e.ids for e in Tokenizer.from_file(str(path)).encode_batch(texts, add_special_tokens=False)]
+        assert not tokens.known and [x.tolist() for x in tokens.encode_with_added(texts)] == want
+    assert packing.Tokens(TOKENIZER).known
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_passing_on_more_bins_saves_no_sequence(spark, monkeypatch, seed):
+    """Lengths above half a sequence, most of them, so that nearly all bins are underfull at every level."""
+    rng = random.Random(seed)
+    sizes = [rng.choice([rng.randint(513, 700), rng.randint(513, 1000), rng.randint(1, 60)]) if rng.random() < 0.97 else rng.randint(200, 500) for _ in range(1500)]
+    items = spark.createDataFrame(list(enumerate(sizes)), "item long, length long")
+    found = {}
+    for forward in (10**9, packing.FAN_IN * 3):  # as many as three levels can use
+        monkeypatch.setattr(packing, "FORWARD", forward)
+        rows = packing.pack(items, 1024, per_task=30).collect()
+        found[forward] = len({r.sequence_id for r in rows})
+    assert len(set(found.values())) == 1
+
+
 def test_packing_added_tokens(spark, loaded):
     texts = ["a<|endoftext|>b", "<|endoftext|>" * 700, "none"]
     rows = packing.packed_sequences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), TOKENIZER, capacity=256).collect()
