@@ -28,12 +28,14 @@ from newsloom.session import stored
 
 # Rows of a bucket, about.
 BUCKET_ROWS = 1_000_000
+# Rows of a bucket that a task writes, about: larger buckets are dealt out to several tasks.
+PART_ROWS = 10_000
 # Appended folders of a bucket before its rows are written as one again.
 MAX_FOLDERS = 8
 # How often a writer starts again before it gives up.
 TRIES = 20
 
-_BUCKET, _HASH = "_bucket", "_hash"
+_BUCKET, _HASH, _PART = "_bucket", "_hash", "_part"
 
 
 @dataclass(frozen=True)
@@ -196,10 +198,16 @@ def _buckets_for(rows: int, bucket_rows: int) -> int:
     return n
 
 
-def _write_buckets(df: DataFrame, path: str, n: int, hash_of: Column, expected: int, order: Sequence[str]) -> tuple[dict[int, str], dict[int, int]]:
-    """Write rows by bucket, one task and file for each, sorted within; the folder and number of rows of each bucket."""
+def _write_buckets(df: DataFrame, path: str, n: int, hash_of: Column, bucket_rows: int, order: Sequence[str]) -> tuple[dict[int, str], dict[int, int]]:
+    """Write rows by bucket, sorted within each file; the folder and number of rows of each bucket.
+
+    Tasks are those of any shuffle, so there are no more of them for more buckets. A task writes a file for each bucket
+    that it has rows of. Buckets of ``bucket_rows`` rows beyond ``PART_ROWS`` are dealt out to several tasks.
+    """
     folder, spark = f"data/{uuid.uuid4().hex}", df.sparkSession
-    dealt = df.withColumn(_BUCKET, F.pmod(hash_of, F.lit(n)).cast("int")).repartition(max(1, expected), _BUCKET)
+    # Buckets go by the low bits of the hash, parts by the high ones.
+    part = F.pmod(F.shiftrightunsigned(hash_of, 32), F.lit(max(1, -(-bucket_rows // PART_ROWS))))
+    dealt = df.withColumns({_BUCKET: F.pmod(hash_of, F.lit(n)).cast("int"), _PART: part.cast("int")}).repartition(_BUCKET, _PART).drop(_PART)
     dealt.sortWithinPartitions(_BUCKET, *[c for c in order if c in df.columns]).write.partitionBy(_BUCKET).parquet(f"{path}/{folder}")
     written = spark.read.schema(T.StructType([T.StructField(_BUCKET, T.IntegerType())])).parquet(f"{path}/{folder}")
     counted = {r[_BUCKET]: r["count"] for r in written.groupBy(_BUCKET).count().collect()}
@@ -241,7 +249,8 @@ def _change_buckets(
             new, keep = (plain if rows is None else rows.unionByName(plain.select(rows.columns))).distinct(), {}
         else:
             new, keep = merge(plain, rows), {}
-        folders, counted = _write_buckets(new, path, n, hash_of(_plain(new.schema)), min(len(touched), max(size, known) + 1), order)
+        there = sum(old.rows.get(b, 0) for b in touched) if old and old.buckets else known
+        folders, counted = _write_buckets(new, path, n, hash_of(_plain(new.schema)), (size + there) // max(1, len(touched)), order)
         if append and not counted and old and not whole:
             return Commit(old.number, len(touched), 0)
         changed = {b: keep.get(b, []) + ([folders[b]] if b in folders else []) for b in touched}

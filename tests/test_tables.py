@@ -1,6 +1,7 @@
 """Committed versions, buckets, and writers that meet."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +144,24 @@ def test_rename_that_must_not_replace(spark, tmp_path):
     with pytest.raises(Exception, match="FileAlreadyExists"):
         files.rename(at[1], at[2], rename)
     assert (tmp_path / "d").read_text() == "a"
+
+
+def test_a_large_bucket_is_written_by_several_tasks_and_many_small_ones_by_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "PART_ROWS", 20)
+    path = str(tmp_path / "large")
+    rows = batch(spark, range(400), "t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.upsert_main(rows, path)
+        tables.append_main(rows, f"{path}-append")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for at in (path, f"{path}-append"):
+        assert tables.version(spark, at).buckets == 1
+        files = tables.read_snapshot(spark, at).groupBy(F.input_file_name()).count().collect()
+        assert len(files) > 3 and max(r["count"] for r in files) < 200 and sum(r["count"] for r in files) == 400
+    assert content(tables.read_snapshot(spark, path)) == content(upsert(rows, None))
+    tables.upsert_main(rows, f"{path}-small", bucket_rows=4)
+    assert tables.version(spark, f"{path}-small").buckets == 128
+    writers = {re.search(r"part-(\d+)", f)[1] for f in tables.read_snapshot(spark, f"{path}-small").inputFiles()}
+    assert len(writers) <= 8  # the tasks of a shuffle, not one for each bucket
