@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.lookup import let
 from newsloom.functions.parse import WS, strip
 from newsloom.operators.dictionary import with_dictionary
+from newsloom.session import stored
 
 # The published share of stops of a true abbreviation and the least score of one.
 ALWAYS, LEAST_SCORE = 0.99, 0.3
@@ -44,18 +45,23 @@ def _is_large(clean: Column) -> Column:
 def learn_abbreviations(df: DataFrame, text: str) -> DataFrame:
     """Rows (word, n_stop, n_plain, score, abbreviation, starter), one for each word of all texts.
 
-    One grouped aggregation over the tokens, and one total of its groups. A null text has no tokens. Without any full
-    stop there are no abbreviations.
+    Tokens are counted as they stand, and only different ones are taken apart. The words are stored once, because their
+    total is needed for each. A null text has no tokens. Without any full stop there are no abbreviations.
     """
     split = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), f"{WS}+"), lambda t: t != "")
     pairs = let(split, lambda ts: F.transform(ts, lambda t, i: F.struct(t.alias("token"), F.get(ts, i - 1).alias("before"))))
-    tokens = df.select(F.explode(pairs).alias("p")).select(_clean(F.col("p.token")).alias("clean"), F.col("p.before").alias("before"))
-    tokens = tokens.where(F.col("clean").rlike(_TYPE))
+    within = F.col("p.before").isNotNull() & ~F.col("p.before").rlike(_ENDED)
+    raw = df.select(F.explode(pairs).alias("p")).groupBy(F.col("p.token").alias("token"), within.alias("within")).agg(F.count(F.lit(1)).alias("n"))
+    tokens = raw.select(_clean(F.col("token")).alias("clean"), "within", "n").where(F.col("clean").rlike(_TYPE))
     stop, large = F.col("clean").endswith("."), _is_large(F.col("clean"))
-    within = F.col("before").isNotNull() & ~F.col("before").rlike(_ENDED)
+
+    def times(which: Column) -> Column:
+        return F.sum(F.when(which, F.col("n")).otherwise(0))
+
     counted = tokens.groupBy(_type(F.col("clean")).alias("word")).agg(
-        F.count_if(stop).alias("n_stop"), F.count_if(~stop).alias("n_plain"), F.count_if(~large).alias("n_small"), F.count_if(large & within).alias("n_large_within")
+        times(stop).alias("n_stop"), times(~stop).alias("n_plain"), times(~large).alias("n_small"), times(large & F.col("within")).alias("n_large_within")
     )
+    counted = stored(counted, "words")
     total = counted.agg(F.struct(F.sum("n_stop").alias("stops"), F.sum(F.col("n_stop") + F.col("n_plain")).alias("all"))).scalar()
     share = F.least(F.greatest(total["stops"] / total["all"], F.lit(1e-12)), F.lit(1 - 1e-12))
     chance = F.col("n_stop") * F.log(share) + F.col("n_plain") * F.log(1 - share)
@@ -80,8 +86,8 @@ def split_sentences_learned(df: DataFrame, key: str, text: str, learned: DataFra
     parts = F.filter(F.regexp_extract_all(strip(F.coalesce(F.col(text), F.lit(""))), F.lit(_PART), F.lit(1)), lambda p: p != "")
 
     def beside(p: Column) -> Column:
-        words = F.split(strip(p), f"{WS}+")
-        return F.struct(p.alias("part"), _clean(F.element_at(words, -1)).alias("last"), _clean(F.element_at(words, 1)).alias("first"))
+        ends = lambda words: F.struct(p.alias("part"), _clean(F.element_at(words, -1)).alias("last"), _clean(F.element_at(words, 1)).alias("first"))
+        return let(F.split(strip(p), f"{WS}+"), ends)
 
     df = df.withColumn("_parts", F.transform(parts, beside))
     some = learned.where("abbreviation or starter").select("word", "abbreviation", "starter")
