@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import split_sentences
 from newsloom.operators import sentences as S
+from newsloom.operators.dictionary import with_dictionary
 from newsloom.operators import terms as T
 from newsloom.functions import text as X
 
@@ -132,3 +133,21 @@ def test_many_terms(spark, monkeypatch):
     none = spark.createDataFrame([], "term string")
     assert {r.id: r.terms for r in T.prefix_terms_table(df, "id", "title", none).collect()} == {1: [], 2: [], 3: []}
     assert {r.id: r.terms for r in T.stem_terms_table(df, "id", "title", none).collect()} == {1: [], 2: [], 3: []}
+
+
+def test_only_different_tokens_are_taken_apart_and_words_are_stored_once(spark):
+    df = spark.createDataFrame([("Dr. Who met Mr. X. He said Dr. Who.",)] * 3, "text string")
+    learned = S.learn_abbreviations(df, "text")
+    assert learned.inputFiles() and all("/words-" in f for f in learned.inputFiles())
+    assert {r.word: (r.n_stop, r.n_plain) for r in learned.collect()}["dr"] == (6, 0)
+
+
+def test_dictionary_words_are_found_before_they_are_grouped(spark):
+    df = spark.createDataFrame([(1, "a b a"), (1, "b c"), (None, "c z"), (2, None)], "id int, text string")
+    entries = spark.createDataFrame([("a", 1), ("b", 2), ("b", 1), ("c", 3)], "word string, n int")
+    joined, look = with_dictionary(df, "id", F.split("text", " "), entries)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Aggregate [_key" in x and "_word" in x.split("],")[0]]
+    again, other = with_dictionary(joined, "id", F.split("text", " "), entries.where("n = 1"), name="_one", source=df)
+    got = again.select("id", "text", look(F.lit("b")).alias("b"), look(F.lit("c")).alias("c"), other(F.lit("a")).alias("a"))
+    assert {tuple(r) for r in got.collect()} == {(1, "a b a", 1, 3, 1), (1, "b c", 1, 3, 1), (None, "c z", None, 3, None), (2, None, None, None, None)}
