@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from newsloom.llm import jaccard
@@ -105,3 +106,63 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for e in links if e[0] != e[1] for x in e}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def _stored_rows(monkeypatch):
+    """Counts of the rows that each scratch table gets."""
+    rows, store = {}, jaccard.stored
+
+    def count(df, label):
+        out = store(df, label)
+        rows[label] = rows.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", count)
+    return rows
+
+
+def test_copies_are_one_row_of_a_block(spark, monkeypatch):
+    """Copies in many tasks were paired in each block that has a column of theirs."""
+    rows = _stored_rows(monkeypatch)
+    data = [(i, " ".join(f"{'abc'[i % 3]}{j}" for j in range(60))) for i in range(30)]
+    got = jaccard.jaccard_classes(spark.createDataFrame(data, "doc_id long, text string").repartition(6))
+    assert sorted(map(tuple, got.collect()), key=str) == brute(data)
+    assert rows["product"] == 0
+
+
+def test_pairs_that_share_a_passage_only_move_no_texts(spark, monkeypatch):
+    """In an order that tells nothing, a passage brings many pairs that are not similar together."""
+    monkeypatch.setattr(jaccard, "column_classes", lambda survey: np.zeros(jaccard.SLOTS, np.uint8))
+    for wide in (2, 24):
+        monkeypatch.setattr(jaccard, "WIDE", wide)
+        rows, shared = _stored_rows(monkeypatch), " ".join(f"s{i}" for i in range(12))
+        data = [(i, f"{shared} " + " ".join(f"w{i}_{j}" for j in range(50))) for i in range(20)]
+        data += [(20, data[3][1] + " tail"), (21, "tail " + data[3][1]), (22, data[9][1] + " x")]
+        got = jaccard.jaccard_classes(spark.createDataFrame(data, "doc_id long, text string").repartition(3))
+        assert sorted(map(tuple, got.collect()), key=str) == brute(data)
+        assert rows["product"] > 0 and rows["pairs"] <= 4 and rows["found"] <= 4
+        monkeypatch.undo()
+        monkeypatch.setattr(jaccard, "column_classes", lambda survey: np.zeros(jaccard.SLOTS, np.uint8))
+
+
+def test_bitmaps_never_rule_out_similar_sets():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 63, 64, 65, 500, 5000):
+        s = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for less in (0, 1, n // 30, n // 14, n // 3, n - 1):
+            other = np.unique(np.concatenate((s[less:], rng.integers(0, 1 << 63, less, dtype=np.uint64))))
+            a, b = (np.frombuffer(jaccard._flips(x), np.uint64)[None, :] for x in (s, other))
+            both = len(np.intersect1d(s, other))
+            similar = 100 * both >= 85 * (len(s) + len(other) - both)
+            fits = bool(jaccard._few_flips(a, np.array([len(s)]), b, np.array([len(other)]), 85)[0])
+            assert fits or not similar
+            assert not fits or less < n / 3 or n < 65
+
+
+def test_rows_by_marks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MARKS", 11)
+    df = spark.createDataFrame([(None if i % 50 == 0 else i % 400, f"t{i}") for i in range(1000)], "doc_id int, text string").repartition(4)
+    some, others = jaccard.by_marks(df, spark.range(0, 30).withColumnRenamed("id", "doc_id"))
+    some, others = some.collect(), others.collect()
+    assert sorted(some + others) == sorted(df.where("doc_id is not null").collect())
+    assert {r.doc_id for r in others}.isdisjoint(range(30)) and len(some) < 400
