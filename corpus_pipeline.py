@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.jaccard import jaccard_classes
+from newsloom.llm.jaccard import by_marks, jaccard_classes
 from newsloom.llm.language import identify
 from newsloom.llm.mixing import mix_sources
 from newsloom.llm.packing import packed_sequences
@@ -35,14 +35,17 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     A document with no words or no id is in no group and stays.
     """
     classes = jaccard_classes(docs, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+    docs = docs.select(*COLUMNS)
     firsts = classes.where("doc_id is null or component_id = doc_id").groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
-    kept = docs.select(*COLUMNS).join(firsts, "doc_id", "left_semi").select(*COLUMNS)
     repeated = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    # Most documents are alone and stay where they are: only those that may go, or share an id, are dealt out by id.
+    some, alone = by_marks(docs, classes.where("component_id != doc_id").select("doc_id").union(repeated.select("doc_id")))
+    kept = some.join(firsts, "doc_id", "left_semi").select(*COLUMNS)
     if not repeated.isEmpty():
-        few = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r"))
+        few = some.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r"))
         few = few.join(firsts, "doc_id", "left_semi").select("doc_id", "r.*").select(*COLUMNS)
         kept = kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS).union(few)
-    return kept.union(docs.where("doc_id is null").select(*COLUMNS))
+    return alone.union(kept).union(docs.where("doc_id is null"))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

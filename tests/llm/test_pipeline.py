@@ -69,3 +69,22 @@ def test_near_copies_of_five_words(spark, real, monkeypatch):
     want = sorted(i for i, _, c in test_jaccard.brute(rows, percent=80) if i == c)
     assert sorted(r.doc_id for r in pipeline.ngram_jaccard_join(spark, docs, real).collect()) == want
     assert 10**6 in want and 10**6 + 1 not in want and 10**6 + 2 not in want
+
+
+def test_documents_that_nothing_is_like_are_not_dealt_out(spark, monkeypatch):
+    """All documents were shuffled by id to take a few away."""
+    seen, by_marks = [], pipeline.by_marks
+
+    def spied(*args):
+        seen.append(by_marks(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(pipeline, "by_marks", spied)
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(30)), "en", "a", 1) for i in range(300)]
+    rows += [(300 + i, rows[i][1], "en", "b", 2) for i in range(3)] + [(5, "z", "en", "c", 3), (None, rows[7][1], "en", "d", 4), (8, None, "en", "e", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = pipeline.ngram_jaccard_join(spark, docs, "")
+    want = [r for r in rows[:300] if r[0] not in (5, 8)] + [rows[5], rows[-2], rows[-1]]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    some, alone = seen[0]
+    assert some.count() < 60 and alone.count() > 240
