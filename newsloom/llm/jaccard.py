@@ -341,16 +341,16 @@ def by_marks(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> tuple[Dat
     """
     spark, whole = df.sparkSession, df.columns
     ids = ids.select(F.col(column).cast("long").alias("id")).distinct()
-    bits = 1 << max(10, min(MARKS, (16 * ids.count()).bit_length()))
+    bits = 1 << min(MARKS, max(15, (16 * ids.count()).bit_length()))
 
     def slot(of: str):
         return F.xxhash64(F.col(of).cast("long")).bitwiseAND(F.lit(bits - 1))
 
-    slots = ids.select(slot("id").alias("slot")).distinct().select(F.shiftright("slot", 16).alias("piece"), F.col("slot").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("at"))
-    marks = np.zeros(bits // 8, np.uint8)
-    for row in slots.groupBy("piece").agg(F.collect_list("at").alias("at")).toLocalIterator():
-        at = (row.piece << 16) + np.asarray(row.at, np.int64)
-        np.bitwise_or.at(marks, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+    # Bitmaps of 4 KiB, at most 4,096 of them, come to the driver.
+    pieces = ids.select(slot("id").alias("slot")).groupBy(F.shiftright("slot", 15).alias("piece"))
+    marks = np.zeros(max(bits // 8, 4096), np.uint8)
+    for row in pieces.agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(0x7FFF))).alias("marks")).collect():
+        marks[row.piece << 12 : (row.piece + 1) << 12] = np.frombuffer(row.marks, np.uint8)
     shared = spark.sparkContext.broadcast(marks)
 
     def of_mark(wanted: bool):
